@@ -1,0 +1,116 @@
+"""Stage gates of a tape run and the ledger that records them."""
+
+from __future__ import annotations
+
+from datetime import date
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from polderbook.functions.derived import as_date
+from polderbook.operators.anacredit import check_conformance, map_tape
+from polderbook.operators.kpis import quick_scan_kpis
+from polderbook.operators.rules import RULES, scoped_loans
+from polderbook.operators.validation import validity_counts
+
+# ---- fixed value: share of loans with a critical finding that blocks a run -----
+MAX_CRITICAL_SHARE = 0.01
+
+# ---- fixed values: what a finding of each severity does to a run ---------------
+SEVERITY_ACTIONS = {
+    "CRITICAL": "FAILED",
+    "HIGH": "WARNING",
+    "MEDIUM": "REPORT",
+    "LOW": "APPENDIX",
+}
+
+
+def severity_action(severity: Column) -> Column:
+    action = F
+    for name, result in SEVERITY_ACTIONS.items():
+        action = action.when(severity == name, F.lit(result))
+    return action
+
+
+def _line(stage: str, checked: Column, flagged: Column, bad: Column, status: str) -> list[Column]:
+    return [
+        F.lit(stage).alias("stage"),
+        F.when(bad, F.lit(status)).otherwise(F.lit("OK")).alias("status"),
+        checked.cast("long").alias("checked_count"),
+        flagged.cast("long").alias("flagged_count"),
+    ]
+
+
+def ingest_gate(tape: DataFrame) -> DataFrame:
+    """FAILED when any row violates the schema."""
+    skipped = F.col("skipped_count")
+    return validity_counts(tape).select(
+        *_line("ingest", F.col("row_count"), skipped, skipped > 0, "FAILED")
+    )
+
+
+def validation_gate(
+    tape: DataFrame, reference_date: date | Column | None = None, gated: bool = True
+) -> DataFrame:
+    """BLOCKED when more than one percent of the loans have a critical finding."""
+    rows, context = scoped_loans(tape, reference_date, gated)
+    critical = reduce(or_, [r.failed(context) for r in RULES.values() if r.severity == "CRITICAL"])
+    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(critical).alias("hit"))
+    return counts.select(
+        *_line("validation", F.col("n"), F.col("hit"),
+               F.col("hit") > F.col("n") * MAX_CRITICAL_SHARE, "BLOCKED")
+    )
+
+
+def anacredit_gate(tape: DataFrame, attributes: DataFrame | None = None) -> DataFrame:
+    """WARNING when a required attribute is empty."""
+    checked = check_conformance(
+        map_tape(tape, on_invalid="skip") if attributes is None else attributes
+    )
+    counts = checked.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("populated")).alias("hit"))
+    return counts.select(
+        *_line("anacredit", F.col("n"), F.col("hit"), F.col("hit") > 0, "WARNING")
+    )
+
+
+def quick_scan_gate(tape: DataFrame) -> DataFrame:
+    """FAILED when an indicator is not a finite number."""
+    kpis = quick_scan_kpis(tape)
+    values = [F.col(f.name) for f in kpis.schema.fields if f.dataType.typeName() == "double"]
+    infinite = F.lit(float("inf"))
+    odd = [v.isNull() | F.isnan(v) | (F.abs(v) == infinite) for v in values]
+    hits = reduce(lambda a, b: a + b, [o.cast("int") for o in odd])
+    return kpis.select(*_line("quick_scan", F.lit(len(values)), hits, hits > 0, "FAILED"))
+
+
+def stage_gates(tape: DataFrame, reference_date: date | Column | None = None) -> DataFrame:
+    """One row per stage: status, rows (or indicators) checked and flagged."""
+    return (
+        ingest_gate(tape)
+        .unionByName(validation_gate(tape, reference_date))
+        .unionByName(anacredit_gate(tape))
+        .unionByName(quick_scan_gate(tape))
+    )
+
+
+def ledger_rows(
+    gates: DataFrame, run_id: str, tape_id: str, reference_date: date | Column | None = None
+) -> DataFrame:
+    return gates.select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(tape_id).alias("tape_id"),
+        "stage", "status", "checked_count", "flagged_count",
+        as_date(reference_date).alias("reference_date"),
+        F.current_timestamp().alias("recorded_at"),
+    )
+
+
+def append_to_ledger(
+    gates: DataFrame, path: str, run_id: str, tape_id: str,
+    reference_date: date | Column | None = None,
+) -> None:
+    """Append the outcome of a run: a handful of rows, one file."""
+    rows = ledger_rows(gates, run_id, tape_id, reference_date)
+    rows.coalesce(1).write.mode("append").parquet(path)

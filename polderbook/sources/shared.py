@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -23,3 +23,15 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError(f"set {SETTING} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="polderbook-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def with_known_size(frame: DataFrame) -> DataFrame:
+    """Run ``frame`` once and read it back as a table in the shared folder.
+
+    For small lookups behind an aggregate: Spark can only guess their size, so it
+    would shuffle the large side of a join against them. Once written, their true
+    size decides between broadcast and shuffle, and they are not computed twice.
+    """
+    path = working_folder(frame.sparkSession, "lookup")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
