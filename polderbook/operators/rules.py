@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from polderbook.functions.derived import as_date, calendar_months, original_lti
+from polderbook.functions.opaque import opaque
 from polderbook.model import BY_NAME, HRA_REGIME_START, HRA_REPAYMENT_TYPES
 from polderbook.operators.validation import typed_tape, valid_loans
 
@@ -279,8 +280,8 @@ def run_all_rules(
         else:
             entries.append(F.when(fails, rule.result(context, F.lit(True), rule.text(context))))
     if not include_passes:
-        rows = rows.where(reduce(or_, failed))
-    found = rows.select("loan_id", F.explode(F.array(*entries)).alias("f"))
+        rows = rows.where(opaque(reduce(or_, failed)))
+    found = rows.select("loan_id", F.explode_outer(F.array(*entries)).alias("f"))
     if not include_passes:
         found = found.where(F.col("f").isNotNull())
     return found.select("loan_id", "f.*")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from polderbook.functions import text
+from polderbook.functions.opaque import opaque
 from polderbook.model import (
     BY_NAME, COLUMNS, FIELDS, HRA_REGIME_START, HRA_REPAYMENT_TYPES, LABEL_COLUMN, PC6_PATTERN,
     Field,
@@ -206,12 +207,16 @@ class TapePlan:
 
     @property
     def row_ok(self) -> Column:
-        """Validity as a flag that is never null."""
-        return F.coalesce(self.keep, F.lit(False))
+        """Validity as a flag that is never null.
+
+        Null-safe equality also keeps the optimizer from rewriting the negation of
+        the flag into dozens of negated tests, which can take it minutes.
+        """
+        return self.keep.eqNullSafe(F.lit(True))
 
     @property
     def fields_ok(self) -> Column:
-        return F.coalesce(self._all(self._fields), F.lit(False))
+        return self._all(self._fields).eqNullSafe(F.lit(True))
 
     def selection(self) -> list[Column]:
         """Typed payload columns with defaults, then the label and bookkeeping columns."""
@@ -283,7 +288,7 @@ def validity_counts(tape: DataFrame, ignore: Iterable[str] = ()) -> DataFrame:
 
 def _failing_rows(tape: DataFrame, ignore: Iterable[str]) -> tuple[TapePlan, DataFrame]:
     plan = TapePlan(tape, ignore)
-    return plan, tape.where(~plan.row_ok)
+    return plan, tape.where(opaque(~plan.row_ok))
 
 
 def schema_violations(
@@ -301,7 +306,8 @@ def schema_violations(
         failing.select(
             index.alias("row_index"),
             F.expr(plan.values["loan_id"]).alias("loan_id"),
-            F.explode(
+            # Never empty; the outer form just adds no derived filter on the array.
+            F.explode_outer(
                 F.when(plan.fields_ok, F.expr(f"array({plan.cross_problems()})")).otherwise(
                     F.expr(f"array({plan.field_problems()})")
                 )

@@ -17,6 +17,8 @@ DEFAULTS = {
     # that large would run interpreted (measured four to ten times slower), so
     # such a stage is split into per-operator code instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Column call-site capture costs more than building the expressions themselves.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -42,9 +42,8 @@ def normal(columns: list[str], rows: list[tuple]) -> tuple[list[str], list[tuple
     )
 
 
-def compare(spark, con, name: str, sf_dir: str) -> str | None:
+def compare(frame, con, name: str) -> str | None:
     """None when both sides agree, else a short description of the difference."""
-    frame = driver.queries()[name](spark, sf_dir)
     got = normal(frame.columns, [tuple(r) for r in frame.collect()])
     cursor = con.execute(driver.oracle_sql()[name])
     want = normal([d[0] for d in cursor.description], cursor.fetchall())
@@ -69,7 +68,7 @@ def main() -> None:
     for name in sys.argv[2:] or driver.queries():
         start = time.time()
         try:
-            problem = compare(spark, con, name, sf_dir)
+            problem = compare(driver.queries()[name](spark, sf_dir), con, name)
         except Exception as error:  # noqa: BLE001 - report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:300]}"
         bad += problem is not None

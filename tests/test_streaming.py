@@ -19,10 +19,10 @@ def test_row_operators_on_a_stream(spark, tmp_path):
     for name, (result, rows) in outputs.items():
         query = (
             result.writeStream.format("memory").queryName(name)
-            .option("checkpointLocation", str(tmp_path / name)).start()
+            .option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
         )
         try:
-            query.processAllAvailable()
+            assert query.awaitTermination(60)
         finally:
             query.stop()
         assert spark.table(name).count() == rows

@@ -223,3 +223,19 @@ def test_empty_tape(spark):
     empty = tape(spark, loan()).limit(0)
     assert v.validate_tape(empty) == 0
     assert v.schema_violations(empty).count() == 0
+
+
+def test_renamed_columns_plan_in_reasonable_time(spark, tmp_path):
+    """Renames next to a wide filter once sent the optimizer into 2^n derived conditions."""
+    from polderbook.operators import anacredit, rules
+    from tests.rows import REFERENCE_DATE
+
+    frame = cases(spark, {}, {"current_balance": 400000.0}, {"lgd": 2.0})
+    frame.select(*[F.col(c).alias(f"src_{c}") for c in COLUMNS]).write.parquet(str(tmp_path / "t"))
+    source = spark.read.parquet(str(tmp_path / "t"))
+    renamed = source.select(*[F.col(f"src_{c}").alias(c) for c in COLUMNS])
+    assert v.schema_violations(renamed).count() == 1
+    assert v.first_issues(renamed, ["loan_id"]).count() == 1
+    assert rules.run_all_rules(renamed, REFERENCE_DATE).count() == 1
+    assert v.valid_loans(renamed).count() == 2
+    assert anacredit.map_tape(renamed, "skip").count() == 2
