@@ -19,11 +19,16 @@ _SHIFT = 750.0
 
 
 def order_bin(value: Column) -> Column:
-    """Monotone bin of a non-null, non-NaN double (infinities get their own bins)."""
+    """Monotone bin of a non-null, non-NaN double (infinities get their own bins).
+
+    Declared non-null, so a join on the bin adds no null filter to one of its sides
+    and both sides can share the shuffle below.
+    """
     magnitude = F.floor((F.ln(F.abs(value)) + _SHIFT) * _PER_E_FOLD).cast("double")
     infinite = F.lit(float("inf"))
-    return (
+    bin_of = (
         F.when(value == 0, F.lit(0.0))
         .when(F.abs(value) == infinite, value)
         .otherwise(F.signum(value) * magnitude)
     )
+    return F.coalesce(bin_of, F.lit(0.0))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from polderbook.functions.derived import as_date, calendar_months, original_lti
 from polderbook.functions.opaque import opaque
+from polderbook.functions.text import quoted
 from polderbook.model import BY_NAME, HRA_REGIME_START, HRA_REPAYMENT_TYPES
 from polderbook.operators.validation import typed_tape, valid_loans
 
@@ -62,16 +63,6 @@ class Rule:
     def text(self, context: RuleContext) -> Column:
         return self.message(context) if callable(self.message) else self.message
 
-    def result(self, context: RuleContext, failed: Column, message: Column) -> Column:
-        return F.struct(
-            F.lit(self.name).alias("rule_name"),
-            F.when(failed, F.lit(self.severity)).otherwise(F.lit("LOW")).alias("severity"),
-            F.lit(self.regulation).alias("regulation"),
-            F.lit(self.dimension).alias("bcbs239_dimension"),
-            message.alias("message"),
-            (~failed).alias("passed"),
-        )
-
 
 def _c(name: str) -> Column:
     return F.col(name)
@@ -273,18 +264,35 @@ def run_all_rules(
     rows, context = scoped_loans(tape, reference_date, gated)
     failed = [rule.failed(context) for rule in rules.values()]
     entries = []
-    for rule, fails in zip(rules.values(), failed):
+    for i, (rule, fails) in enumerate(zip(rules.values(), failed), start=1):
+        text = rule.text(context)
         if include_passes:
-            text = F.when(fails, rule.text(context)).otherwise(F.lit("OK"))
-            entries.append(rule.result(context, fails, text))
-        else:
-            entries.append(F.when(fails, rule.result(context, F.lit(True), rule.text(context))))
+            text = F.when(fails, text).otherwise(F.lit("OK"))
+        entry = F.struct(F.lit(i).alias("rule"), text.alias("message"), (~fails).alias("passed"))
+        entries.append(entry if include_passes else F.when(fails, entry))
     if not include_passes:
         rows = rows.where(opaque(reduce(or_, failed)))
     found = rows.select("loan_id", F.explode_outer(F.array(*entries)).alias("f"))
     if not include_passes:
         found = found.where(F.col("f").isNotNull())
-    return found.select("loan_id", "f.*")
+
+    def attribute(name: str) -> Column:
+        # Constant per rule: looked up after the fan-out instead of copied through it.
+        values = ", ".join(quoted(getattr(rule, name)) for rule in rules.values())
+        return F.expr(f"element_at(array({values}), f.rule)")
+
+    severity = attribute("severity")
+    if include_passes:
+        severity = F.when(F.col("f.passed"), F.lit("LOW")).otherwise(severity)
+    return found.select(
+        "loan_id",
+        attribute("name").alias("rule_name"),
+        severity.alias("severity"),
+        attribute("regulation").alias("regulation"),
+        attribute("dimension").alias("bcbs239_dimension"),
+        "f.message",
+        "f.passed",
+    )
 
 
 def run_rule(

@@ -77,6 +77,15 @@ def test_counts_shuffle_one_row_per_task(view):
     assert text.count("Exchange") == 1 and "SinglePartition" in text
 
 
+def test_drift_reads_each_snapshot_once(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(driver.queries()["ks_drift"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert text.count("FileScan") == 2 and "ReusedExchange" in text
+
+
 def test_valid_row_filter_stays_compilable(view):
     """The fused row test must stay below the size that the JVM compiles."""
     stages = validation.valid_loans(view)._jdf.queryExecution().debug().codegenToSeq().iterator()
