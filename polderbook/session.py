@@ -14,7 +14,7 @@ DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
     # The JVM never compiles a method of more than 8,000 bytecodes. A fused stage
-    # that large would run interpreted (measured four to ten times slower), so
+    # that large would run interpreted (measured about three to four times slower), so
     # such a stage is split into per-operator code instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Column call-site capture costs more than building the expressions themselves.
