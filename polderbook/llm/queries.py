@@ -149,9 +149,9 @@ levels AS (
     / CAST(sum(weight) OVER (ORDER BY cap / weight, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
   FROM weighed
 ),
-chosen AS (SELECT *, max(CASE WHEN level < cap / weight THEN level END) OVER () AS at FROM levels),
+chosen AS (SELECT *, max(CASE WHEN level < cap / weight THEN level END) OVER () AS common FROM levels),
 targets AS (
-  SELECT source, source_size, CASE WHEN level >= cap / weight OR at IS NULL THEN CAST(cap AS DOUBLE) ELSE at * weight END AS target,
+  SELECT source, source_size, CASE WHEN level >= cap / weight OR common IS NULL THEN CAST(cap AS DOUBLE) ELSE common * weight END AS target,
     CAST(('0x' || substr(md5('mix-1:' || coalesce(source, chr(0))), 1, 8)) AS BIGINT) / 4294967296.0 AS start
   FROM chosen
 ),

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from polderbook.llm.common import text_of
 
@@ -212,7 +213,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     columns = [c for c in docs.columns if c != "toxicity"]
     sent = docs.sparkSession.sparkContext.broadcast((model.odds, model.bias))
     out = docs.select(*[F.col(f"`{c}`") for c in columns])
-    schema = out.schema.add("toxicity", "double")
+    schema = StructType([*out.schema.fields, StructField("toxicity", DoubleType())])
     at = columns.index("text")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
