@@ -27,13 +27,6 @@ def words_line(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), NOT_A_WORD, " "))
 
 
-def word_hashes(line: Column) -> Column:
-    """A 64-bit hash of each word of a normalised line."""
-    return F.when(line == "", F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.split(line, " "), lambda w: F.xxhash64(w))
-    )
-
-
 class Scratch:
     """Intermediate tables of one operator call, in the folder that all executors share.
 

@@ -14,10 +14,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from polderbook.llm.common import Scratch
+from polderbook.llm.common import Scratch, words_line
 from polderbook.llm.components import components
 
 Verify = Callable[[list[str], list[str]], float]
@@ -25,19 +25,20 @@ Verify = Callable[[list[str], list[str]], float]
 STEP_WORDS = 400_000
 
 
-def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(id, word hashes end to end, words per text) of some texts at a time, from columns id and hashes."""
+def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(other columns, word hashes end to end, words per text) of some texts at a time; the last column has the hashes."""
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        lists = batch.column(1)
+        last = batch.num_columns - 1
+        lists = batch.column(last)
+        others = batch.select(list(range(last)))
         flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
         ends = np.asarray(lists.offsets)[1:] - lists.offsets[0].as_py()
         at, start = 0, 0
-        while at < len(ids):
+        while at < batch.num_rows:
             upto = max(at + 1, int(np.searchsorted(ends, start + STEP_WORDS, "right")))
             stop = int(ends[upto - 1])
             sizes = np.diff(ends[at:upto], prepend=start)
-            yield ids[at:upto], flat[start:stop], sizes
+            yield others.slice(at, upto - at), flat[start:stop], sizes
             at, start = upto, stop
 
 
@@ -71,18 +72,25 @@ def shingles(words: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarr
     return out, counts
 
 
-def verified(pairs: DataFrame, texts: DataFrame, verify: Verify, scratch: Scratch, name: str) -> DataFrame:
+def verified(
+    pairs: DataFrame, members: DataFrame, raw: DataFrame, verify: Verify, scratch: Scratch, name: str
+) -> DataFrame:
     """Table (a, b, similarity) of the pairs that ``verify`` accepts with 0 or more.
 
-    ``texts`` has (id, line), possibly several times per id; only lines that some
-    pair needs are shuffled.
+    ``members`` has (id, raw): the name of a normalised text and a hash of a raw
+    text behind it; ``raw`` has (text), every raw text. Only texts that some pair
+    needs are normalised and shuffled.
     """
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = scratch.small(
-        pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(),
+        members.join(ids, "id", "left_semi").groupBy("id").agg(F.min("raw").alias("raw")).select("raw").distinct(),
         f"{name}-wanted",
     )
+    texts = raw.select(F.xxhash64("text").alias("raw"), "text").join(wanted, "raw", "left_semi")
     lines = scratch.write(
-        texts.join(wanted, "id", "left_semi").groupBy("id").agg(F.max("line").alias("line")), f"{name}-lines"
+        texts.groupBy("raw").agg(F.max("text").alias("text")).select(words_line(F.col("text")).alias("line"))
+        .select(F.xxhash64("line").alias("id"), "line").groupBy("id").agg(F.max("line").alias("line")),
+        f"{name}-lines",
     )
     both = (
         pairs.join(lines.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
@@ -104,29 +112,44 @@ def verified(pairs: DataFrame, texts: DataFrame, verify: Verify, scratch: Scratc
     return links
 
 
-def classes(bands: DataFrame, texts: DataFrame, verify: Verify, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(links, components) of the texts in ``bands`` (bucket, id): links (a, b, similarity), components (id, component)."""
+def _alike(a: str, b: str, least: float) -> Column:
+    """False where the shingle counts alone keep two texts below ``least``."""
+    return F.least(a, b) >= F.greatest(a, b) * F.lit(least)
+
+
+def classes(
+    members: DataFrame, bands: list[str], raw: DataFrame, verify: Verify, least: float, scratch: Scratch
+) -> tuple[DataFrame, DataFrame]:
+    """(links, components): links (a, b, similarity), components (id, component).
+
+    ``members`` has (id, raw, size) and a column per band; size is the number of shingles.
+    """
+    rows = members.select("id", "size", F.explode(F.array(*bands)).alias("bucket"))
     firsts = scratch.small(
-        bands.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-        .select("bucket", "first"),
+        rows.groupBy("bucket").agg(F.min(F.struct("id", "size")).alias("first"), F.max("id").alias("last"))
+        .where("first.id < last").select("bucket", F.col("first.id").alias("first"), F.col("first.size").alias("first_size")),
         "firsts",
     )
-    live = scratch.write(bands.join(firsts, "bucket").select("bucket", "id", "first").distinct(), "live")
+    live = scratch.write(rows.join(firsts, "bucket").distinct(), "live")
     stars = scratch.write(
-        live.where("id > first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "stars"
+        live.where((F.col("id") > F.col("first")) & _alike("size", "first_size", least))
+        .select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(),
+        "stars",
     )
-    one = verified(stars, texts, verify, scratch, "one")
+    one = verified(stars, members, raw, verify, scratch, "one")
     parts = components(one, scratch, "part")
-    named = live.join(parts, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("part"))
+    named = live.join(parts, "id", "left").select("bucket", "id", "size", F.coalesce("component", "id").alias("part"))
     mixed_up = named.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
     open_rows = scratch.write(named.join(mixed_up.select("bucket"), "bucket", "left_semi"), "open")
-    left = open_rows.select("bucket", F.col("id").alias("a"), F.col("part").alias("part_a"))
-    right = open_rows.select("bucket", F.col("id").alias("b"), F.col("part").alias("part_b"))
-    across = left.join(right, "bucket").where("a < b and part_a <> part_b").select("a", "b").distinct()
+    left = open_rows.select("bucket", F.col("id").alias("a"), F.col("part").alias("part_a"), F.col("size").alias("size_a"))
+    right = open_rows.select("bucket", F.col("id").alias("b"), F.col("part").alias("part_b"), F.col("size").alias("size_b"))
+    across = left.join(right, "bucket").where(
+        (F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & _alike("size_a", "size_b", least)
+    ).select("a", "b").distinct()
     rest = scratch.write(across.join(stars, ["a", "b"], "left_anti"), "rest")
     links, final = one, parts
     if rest.limit(1).count():
-        links = one.unionByName(verified(rest, texts, verify, scratch, "two"))
+        links = one.unionByName(verified(rest, members, raw, verify, scratch, "two"))
         final = components(links, scratch, "class")
     scratch.drop("firsts", "live", "stars", "open", "rest")
     return links, final

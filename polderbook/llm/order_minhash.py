@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from polderbook.llm.common import Scratch, text_of, word_hashes, words_line
+from polderbook.llm.common import Scratch, text_of, words_line
 from polderbook.llm.near import classes, mixed, shingles, steps
 
 WIDTH = 5
@@ -72,12 +73,13 @@ def sketch(kmers: np.ndarray, counts: np.ndarray, seed: int) -> np.ndarray:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["id", *[f"s{i}" for i in range(SKETCHES)]]
-    for ids, words, sizes in steps(batches):
+    for others, words, sizes in steps(batches):
         kmers, counts = shingles(words, sizes, WIDTH)
         marked = labelled(kmers, counts)
         columns = [sketch(marked, counts, seed).view(np.int64) for seed in range(SKETCHES)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids, *columns)], names)
+        yield pa.RecordBatch.from_arrays(
+            [*others.columns, *map(pa.array, (counts.astype(np.int64), *columns))],
+            [*others.schema.names, "size", *[f"s{i}" for i in range(SKETCHES)]])
 
 
 def alignment(a: list[str], b: list[str], width: int = WIDTH, least: float = SIMILARITY) -> float:
@@ -95,10 +97,10 @@ def alignment(a: list[str], b: list[str], width: int = WIDTH, least: float = SIM
             seen[kmer] = number = seen.get(kmer, 0) + 1
             yield kmer, number
 
-    at = {kmer: i for i, kmer in enumerate(kmers(a))}
-    n, m = len(at), max(1, len(b) - width + 1)
+    n, m = (max(1, len(words) - width + 1) for words in (a, b))
     if min(n, m) < least * max(n, m):
         return -1.0
+    at = {kmer: i for i, kmer in enumerate(kmers(a))}
     band = (n + m) * (1 - least) / (1 + least) + 1e-9
     matched = [i for j, kmer in enumerate(kmers(b)) if abs((i := at.get(kmer, -1 << 60)) - j) <= band]
     tails: list[int] = []
@@ -111,27 +113,20 @@ def alignment(a: list[str], b: list[str], width: int = WIDTH, least: float = SIM
     return similarity if similarity >= least else -1.0
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, id, line): the words of each document and a 64-bit name for them."""
-    line = docs.select("doc_id", words_line(text_of()).alias("line"))
-    return line.select("doc_id", F.xxhash64("line").alias("id"), "line")
-
-
 def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(classes, links): classes has doc_id, class_id, class_size, kept for every row of ``docs``;
-    links has a, b, similarity between the smallest documents of two texts."""
+    links has doc_a, doc_b, similarity between the smallest documents of two texts."""
     scratch = Scratch(docs.sparkSession, "near")
-    named = keyed(docs)
-    hashes = named.where("line <> ''").select("id", word_hashes(F.col("line")).alias("hashes"))
-    wide = scratch.write(
-        hashes.mapInArrow(_sketches, "id bigint, " + ", ".join(f"s{i} bigint" for i in range(SKETCHES))), "sketches"
-    )
-    bands = wide.select("id", F.explode(F.array(*[f"s{i}" for i in range(SKETCHES)])).alias("bucket"))
-    links, parts = classes(bands, named.where("line <> ''").select("id", "line"), alignment, scratch)
-    scratch.drop("sketches")
+    sketches = [f"s{i}" for i in range(SKETCHES)]
+    texts = docs.select("doc_id", text_of().alias("text"))
+    lined = texts.select("doc_id", F.xxhash64("text").alias("raw"), words_line(F.col("text")).alias("line"))
+    named = lined.select("doc_id", "raw", F.xxhash64("line").alias("id"),
+                         F.transform(F.split("line", " "), lambda w: F.xxhash64(w)).alias("hashes"))
+    schema = StructType([*named.schema.fields[:3], *[StructField(c, LongType()) for c in ("size", *sketches)]])
     members = scratch.write(
-        named.select("doc_id", "id").withColumn("row", F.monotonically_increasing_id()), "members"
+        named.mapInArrow(_sketches, schema).withColumn("row", F.monotonically_increasing_id()), "members"
     )
+    links, parts = classes(members, sketches, texts.select("text"), alignment, SIMILARITY, scratch)
     part = F.coalesce("component", "id")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
     placed = members.join(parts, "id", "left").select("doc_id", "row", part.alias("part"))
