@@ -1,8 +1,9 @@
 """Links and classes of near-duplicate texts from bucketed sketches.
 
 A bucket holds the texts that share one sketch value. Its pairs are found in two
-steps. First every text is compared with the smallest of its buckets, which is
-one pair per text and bucket and joins nearly all of a large group. Then, in
+steps. First, in a few rounds, every text is compared with one leading text of each
+of its buckets, another in each round, which is one pair per text, bucket and
+round and joins nearly all of a large group. Then, in
 buckets whose texts do not all belong to one class yet, the pairs across classes
 are compared. Pairs within a class cannot change it, so the classes are those of
 all pairs of all buckets, without writing out the pairs of a group.
@@ -20,7 +21,13 @@ from pyspark.sql import functions as F
 from polderbook.llm.common import Scratch, words_line
 from polderbook.llm.components import components
 
-Verify = Callable[[list[str], list[str]], float]
+#: What a comparison needs of a text, made once per task and text, and the comparison itself.
+Prepare = Callable[[list[str]], object]
+Compare = Callable[[object, object], float]
+#: Words of prepared texts that a task remembers.
+REMEMBER_WORDS = 1_000_000
+#: Rounds against one leading text per bucket, before the pairs across classes.
+ROUNDS = 3
 #: Words that one numpy step works on, so that its arrays stay small.
 STEP_WORDS = 400_000
 
@@ -73,9 +80,9 @@ def shingles(words: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarr
 
 
 def verified(
-    pairs: DataFrame, members: DataFrame, raw: DataFrame, verify: Verify, scratch: Scratch, name: str
+    pairs: DataFrame, members: DataFrame, raw: DataFrame, verify: tuple[Prepare, Compare], scratch: Scratch, name: str
 ) -> DataFrame:
-    """Table (a, b, similarity) of the pairs that ``verify`` accepts with 0 or more.
+    """Table (a, b, similarity) of the pairs that the comparison accepts with 0 or more.
 
     ``members`` has (id, raw): the name of a normalised text and a hash of a raw
     text behind it; ``raw`` has (text), every raw text. Only texts that some pair
@@ -98,14 +105,25 @@ def verified(
         .select("a", "b", "line_a", "line_b")
     )
 
+    prepare, similarity = verify
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready: dict[int, object] = {}
+        held = 0
         for batch in batches:
             a, b, left, right = batch.columns
-            score = [
-                verify(x.as_py().split(" "), y.as_py().split(" ")) for x, y in zip(left, right, strict=True)
-            ]
-            found = pa.RecordBatch.from_arrays([a, b, pa.array(score, pa.float64())], ["a", "b", "similarity"])
-            yield found.filter(pa.array([s >= 0 for s in score], pa.bool_()))
+            scores = []
+            for i, (x, y) in enumerate(zip(a.to_pylist(), b.to_pylist(), strict=True)):
+                for key, line in ((x, left), (y, right)):
+                    if key not in ready:
+                        words = line[i].as_py().split(" ")
+                        if held > REMEMBER_WORDS:
+                            ready, held = {k: ready[k] for k in (x, y) if k in ready}, 0
+                        ready[key] = prepare(words)
+                        held += len(words)
+                scores.append(similarity(ready[x], ready[y]))
+            found = pa.RecordBatch.from_arrays([a, b, pa.array(scores, pa.float64())], ["a", "b", "similarity"])
+            yield found.filter(pa.array([s >= 0 for s in scores], pa.bool_()))
 
     links = scratch.write(both.mapInArrow(compare, "a bigint, b bigint, similarity double"), f"{name}-links")
     scratch.drop(f"{name}-wanted", f"{name}-lines")
@@ -118,26 +136,37 @@ def _alike(a: str, b: str, least: float) -> Column:
 
 
 def classes(
-    members: DataFrame, bands: list[str], raw: DataFrame, verify: Verify, least: float, scratch: Scratch
+    members: DataFrame, bands: list[str], raw: DataFrame, verify: tuple[Prepare, Compare], least: float,
+    scratch: Scratch, agree: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """(links, components): links (a, b, similarity), components (id, component).
 
     ``members`` has (id, raw, size) and a column per band; size is the number of shingles.
+    Pairs across classes are compared if they agree on ``agree`` bands.
     """
     rows = members.select("id", "size", F.explode(F.array(*bands)).alias("bucket"))
     firsts = scratch.small(
-        rows.groupBy("bucket").agg(F.min(F.struct("id", "size")).alias("first"), F.max("id").alias("last"))
-        .where("first.id < last").select("bucket", F.col("first.id").alias("first"), F.col("first.size").alias("first_size")),
-        "firsts",
-    )
-    live = scratch.write(rows.join(firsts, "bucket").distinct(), "live")
-    stars = scratch.write(
-        live.where((F.col("id") > F.col("first")) & _alike("size", "first_size", least))
-        .select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(),
-        "stars",
+        rows.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+        .select("bucket"), "firsts",
     )
-    one = verified(stars, members, raw, verify, scratch, "one")
-    parts = components(one, scratch, "part")
+    live = scratch.write(rows.join(firsts, "bucket", "left_semi").distinct(), "live")
+    links = stars = parts = None
+    for turn in range(ROUNDS):
+        # another text of each bucket leads in each round; texts already in its class are not compared
+        order = F.struct((F.xxhash64("id", F.lit(turn)) if turn else F.col("id")).alias("order"), "id", "size", "part")
+        named = live.withColumn("part", F.col("id")) if parts is None else live.join(parts, "id", "left").select(
+            "bucket", "id", "size", F.coalesce("component", "id").alias("part"))
+        leaders = scratch.small(named.groupBy("bucket").agg(F.min(order).alias("lead")).select(
+            "bucket", F.col("lead.id").alias("first"), F.col("lead.size").alias("first_size"),
+            F.col("lead.part").alias("first_part")), f"leaders-{turn}")
+        pairs = named.join(leaders, "bucket").where(
+            (F.col("part") != F.col("first_part")) & _alike("size", "first_size", least)
+        ).select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b")).distinct()
+        new = scratch.write(pairs if stars is None else pairs.join(stars, ["a", "b"], "left_anti"), f"stars-{turn}")
+        found = verified(new, members, raw, verify, scratch, f"links-{turn}")
+        links = found if links is None else links.unionByName(found)
+        stars = new if stars is None else stars.unionByName(new)
+        parts = components(links, scratch, f"part-{turn}")
     named = live.join(parts, "id", "left").select("bucket", "id", "size", F.coalesce("component", "id").alias("part"))
     mixed_up = named.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
     open_rows = scratch.write(named.join(mixed_up.select("bucket"), "bucket", "left_semi"), "open")
@@ -145,11 +174,11 @@ def classes(
     right = open_rows.select("bucket", F.col("id").alias("b"), F.col("part").alias("part_b"), F.col("size").alias("size_b"))
     across = left.join(right, "bucket").where(
         (F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & _alike("size_a", "size_b", least)
-    ).select("a", "b").distinct()
+    ).groupBy("a", "b").agg(F.count_distinct("bucket").alias("n")).where(F.col("n") >= agree).select("a", "b")
     rest = scratch.write(across.join(stars, ["a", "b"], "left_anti"), "rest")
-    links, final = one, parts
+    final = parts
     if rest.limit(1).count():
-        links = one.unionByName(verified(rest, members, raw, verify, scratch, "two"))
+        links = links.unionByName(verified(rest, members, raw, verify, scratch, "two"))
         final = components(links, scratch, "class")
-    scratch.drop("firsts", "live", "stars", "open", "rest")
+    scratch.drop("firsts", "live", "open", "rest", *[f"{kind}-{t}" for t in range(ROUNDS) for kind in ("leaders", "stars")])
     return links, final

@@ -7,7 +7,9 @@ text order: two documents agree on a sketch when they share those k-mers and
 their order. Documents that agree on one sketch are aligned: the longest common
 subsequence of their k-mers within the band that similarity 0.8 leaves open.
 Similarity is aligned k-mers over all k-mers of both, so moved text counts as
-different. A pair at 0.8 is missed by all sketches about once in 5,000.
+different. A pair at exactly 0.8 is
+missed about once in 5,000: it shares about half of the sketches, and a pair
+across classes must share two of them.
 
 Documents of one to four words have a single k-mer, all their words; documents
 without words, and null texts, are copies of one another. Rows with a null
@@ -30,8 +32,10 @@ from polderbook.llm.near import classes, mixed, shingles, steps
 
 WIDTH = 5
 SIMILARITY = 0.8
-SKETCHES = 12
+SKETCHES = 16
 PICKED = 3
+#: Sketches that a pair across classes must share; with one in common it is no candidate there.
+AGREE = 2
 
 
 def labelled(kmers: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -82,27 +86,33 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [*others.schema.names, "size", *[f"s{i}" for i in range(SKETCHES)]])
 
 
-def alignment(a: list[str], b: list[str], width: int = WIDTH, least: float = SIMILARITY) -> float:
+def kmers(words: list[str], width: int = WIDTH) -> dict[int, int]:
+    """Place of each labelled k-mer, by a hash of its words and its number, in text order."""
+    seen: dict[int, int] = {}
+    out: dict[int, int] = {}
+    for i in range(max(1, len(words) - width + 1)):
+        kmer = hash(tuple(words[i:i + width]))
+        seen[kmer] = number = seen.get(kmer, 0) + 1
+        out[kmer if number == 1 else hash((kmer, number))] = i
+    return out
+
+
+def alignment(a: dict[int, int], b: dict[int, int], least: float = SIMILARITY) -> float:
     """Aligned k-mers over all k-mers of both texts, or -1 if below ``least``.
 
     Labelled k-mers are unique within a text, so the common subsequence is the
-    longest rising run of matched positions; matches off the band cannot belong
-    to an alignment that reaches ``least``.
+    longest rising run of matched places; matches off the band cannot belong to
+    an alignment that reaches ``least``. Texts that share too few k-mers in any
+    order are not aligned.
     """
-
-    def kmers(words: list[str]) -> Iterator[tuple]:
-        seen: dict[tuple, int] = {}
-        for i in range(max(1, len(words) - width + 1)):
-            kmer = tuple(words[i:i + width])
-            seen[kmer] = number = seen.get(kmer, 0) + 1
-            yield kmer, number
-
-    n, m = (max(1, len(words) - width + 1) for words in (a, b))
+    n, m = len(a), len(b)
     if min(n, m) < least * max(n, m):
         return -1.0
-    at = {kmer: i for i, kmer in enumerate(kmers(a))}
+    shared = len(a.keys() & b.keys())
+    if shared < least * (n + m - shared):
+        return -1.0
     band = (n + m) * (1 - least) / (1 + least) + 1e-9
-    matched = [i for j, kmer in enumerate(kmers(b)) if abs((i := at.get(kmer, -1 << 60)) - j) <= band]
+    matched = [i for kmer, j in b.items() if abs((i := a.get(kmer, -1 << 60)) - j) <= band]
     tails: list[int] = []
     for i in matched:
         if not tails or i > tails[-1]:
@@ -126,7 +136,7 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = scratch.write(
         named.mapInArrow(_sketches, schema).withColumn("row", F.monotonically_increasing_id()), "members"
     )
-    links, parts = classes(members, sketches, texts.select("text"), alignment, SIMILARITY, scratch)
+    links, parts = classes(members, sketches, texts.select("text"), (kmers, alignment), SIMILARITY, scratch, AGREE)
     part = F.coalesce("component", "id")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
     placed = members.join(parts, "id", "left").select("doc_id", "row", part.alias("part"))
