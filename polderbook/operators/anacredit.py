@@ -120,14 +120,15 @@ def attribute_expressions() -> list[Column]:
     return [expr.alias(name) for name, expr in _attributes().items()]
 
 
-def _checked_rows(tape: DataFrame, on_invalid: str) -> DataFrame:
+def _checked_rows(tape: DataFrame, on_invalid: str, extra: Sequence[str] = ()) -> DataFrame:
+    """Valid rows, with the columns ``extra`` that are not part of the schema."""
     if on_invalid == "skip":
-        return valid_loans(tape)
+        return valid_loans(tape, ignore=list(extra))
     if on_invalid != "raise":
         raise ValueError(f"on_invalid must be 'raise' or 'skip', got {on_invalid!r}")
-    plan = TapePlan(tape)
+    plan = TapePlan(tape.drop(*extra))
     stop = F.raise_error(F.lit("tape row violates the loan schema")).cast("boolean")
-    return tape.where(F.when(plan.row_ok, F.lit(True)).otherwise(stop)).select(*plan.selection())
+    return tape.where(F.when(plan.row_ok, F.lit(True)).otherwise(stop)).select(*plan.selection(), *extra)
 
 
 def map_tape(tape: DataFrame, on_invalid: str = "raise") -> DataFrame:
@@ -217,13 +218,10 @@ def map_tape_extended(
     forbearance status to 24 months; without it the flag alone decides.
     """
     extra = ["restructured_date"] if "restructured_date" in tape.columns else []
-    if on_invalid == "skip":
-        rows = valid_loans(tape, ignore=extra)
-    else:
-        rows = _checked_rows(tape.drop(*extra), on_invalid)
+    rows = _checked_rows(tape, on_invalid, extra)
     reference = as_date(reference_date)
     forborne = F.col("restructured_flag")
-    if extra and on_invalid == "skip":
+    if extra:
         age = calendar_months(F.col("restructured_date"), reference)
         forborne = forborne & F.coalesce(age <= FORBEARANCE_WINDOW_MONTHS, F.lit(True))
     return rows.select(
@@ -249,18 +247,21 @@ def counterparty_default_status(tape: DataFrame) -> DataFrame:
     A borrower is in default when any of their loans is. Defaulted borrowers are
     reduced to distinct ids on the map side first, so a borrower with very many
     loans costs one row there, and AQE splits their loans on the other side of
-    the join; a window per borrower would put them all in one task.
+    the join; a window per borrower would put them all in one task. A loan without a
+    borrower stands for itself.
     """
     in_default = (
         tape.where(F.col("ifrs9_stage") == "3")
+        .where(F.col("borrower_id").isNotNull())
         .select("borrower_id")
         .distinct()
         .withColumn("any_default", F.lit(True))
     )
-    return tape.select("loan_id", "borrower_id").join(in_default, "borrower_id", "left").select(
+    own = tape.select("loan_id", "borrower_id", (F.col("borrower_id").isNull() & (F.col("ifrs9_stage") == "3")).alias("alone"))
+    return own.join(in_default, "borrower_id", "left").select(
         "loan_id",
         "borrower_id",
-        _either(F.coalesce("any_default", F.lit(False)), "Default", "Not in default").alias(
+        _either(F.coalesce("any_default", "alone", F.lit(False)), "Default", "Not in default").alias(
             "default_status_of_counterparty"
         ),
     )

@@ -72,19 +72,21 @@ def robust_outliers(
     The score is ``(value - median) / (1.4826 * MAD)`` within the group; metrics
     without spread are skipped. ``degraded_mode`` marks the rule-based fallback.
     """
-    keys = [group, "metric"]
-    long = stack_metrics(tape, metrics, keep=["loan_id", group])
+    # Loans without a group are scored against one another.
+    tape = tape.withColumn("__group", F.coalesce(F.col(group).cast("string"), F.lit("unknown")))
+    keys = ["__group", "metric"]
+    long = stack_metrics(tape, metrics, keep=["loan_id", "__group"])
     medians = with_known_size(exact_medians(long.select(*keys, "value"), keys))
     deviations = long.join(medians, keys).select(
         *keys, F.abs(F.col("value") - F.col("median")).alias("value")
     )
     spread = exact_medians(deviations, keys, "mad")
     scales = medians.join(spread, keys).where("mad > 0")
-    pivoted = scales.groupBy(group).agg(*[
+    pivoted = scales.groupBy("__group").agg(*[
         F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"__{c}_{m}")
         for m in metrics for c in ("median", "mad")
     ])
-    scored = tape.select("loan_id", group, *metrics).join(with_known_size(pivoted), group)
+    scored = tape.select("loan_id", group, "__group", *metrics).join(with_known_size(pivoted), "__group")
     z = {
         m: (F.col(m) - F.col(f"__median_{m}")) / (F.col(f"__mad_{m}") * MAD_SCALE)
         for m in metrics
@@ -109,17 +111,18 @@ def repayment_mix_anomaly(
     # One row per calendar year, hence a window without a partition key.
     everything = Window.partitionBy()
     n = F.count(F.lit(1)).over(everything)
-    total = F.sum("share").over(everything)
-    squares = F.sum(F.col("share") * F.col("share")).over(everything)
-    scored = years.withColumns(
+    # Shares are centred first, so that equal shares have no spread at all.
+    centred = years.withColumn("off", F.col("share") - F.avg("share").over(everything))
+    total, squares = F.sum("off").over(everything), F.sum(F.col("off") * F.col("off")).over(everything)
+    scored = centred.withColumns(
         {
             "others": n - 1,
-            "mean_others": F.try_divide(total - F.col("share"), n - 1),
-            "squares_others": squares - F.col("share") * F.col("share"),
+            "mean_off": F.try_divide(total - F.col("off"), n - 1),
+            "squares_others": squares - F.col("off") * F.col("off"),
         }
-    )
+    ).withColumn("mean_others", F.col("share") - F.col("off") + F.col("mean_off"))
     variance = F.try_divide(
-        F.col("squares_others") - F.col("others") * F.col("mean_others") * F.col("mean_others"),
+        F.col("squares_others") - F.col("others") * F.col("mean_off") * F.col("mean_off"),
         F.col("others") - 1,
     )
     scored = scored.withColumn("sd_others", F.sqrt(F.greatest(variance, F.lit(0.0))))

@@ -54,7 +54,7 @@ def concentration(tape: DataFrame, area: Column, name: str, top: int | None = No
     """Exposure by area, largest first; ``top`` keeps the leading areas of the report."""
     groups = _with_exposure_share(tape.groupBy(area.alias(name)).agg(*_exposure()), tape)
     ranked = groups.orderBy(F.desc("exposure"), name)
-    return ranked.limit(top) if top else ranked
+    return ranked if top is None else ranked.limit(top)
 
 
 def concentration_pc4(tape: DataFrame, top: int | None = None) -> DataFrame:

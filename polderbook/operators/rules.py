@@ -219,7 +219,7 @@ def unregister_rule(name: str) -> None:
 
 
 def rule_positions(rules: Mapping[str, Rule] | None = None) -> dict[str, int]:
-    return {name: i for i, name in enumerate(rules or RULES)}
+    return {name: i for i, name in enumerate(RULES if rules is None else rules)}
 
 
 def scoped_loans(
@@ -241,7 +241,7 @@ def rule_flags(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per loan with a boolean per rule, true where the rule fails (no shuffle)."""
-    rules = rules or RULES
+    rules = RULES if rules is None else rules
     rows, context = scoped_loans(tape, reference_date, gated)
     return rows.select(
         "loan_id", *keep, *[rule.failed(context).alias(name) for name, rule in rules.items()]
@@ -260,7 +260,7 @@ def run_all_rules(
     Failures only, unless ``include_passes``. Loans without a finding are dropped
     before the fan-out, so the output grows with the failures, not with the tape.
     """
-    rules = rules or RULES
+    rules = RULES if rules is None else rules
     rows, context = scoped_loans(tape, reference_date, gated)
     failed = [rule.failed(context) for rule in rules.values()]
     entries = []
@@ -314,7 +314,7 @@ def rule_counts(
     Counts come from one global aggregate over the flags: each task ships a
     single row, whatever the number of findings.
     """
-    rules = rules or RULES
+    rules = RULES if rules is None else rules
     rows, context = scoped_loans(tape, reference_date, gated)
     totals = rows.agg(
         F.count(F.lit(1)).alias("loans"),

@@ -17,12 +17,12 @@ def roll_rates(before: DataFrame, after: DataFrame) -> DataFrame:
     both snapshots are stacked and reduced to one small row per loan. The partial
     sums are built before the single shuffle, so an id that repeats without end
     (a corrupt or default key) costs one row per task instead of a join explosion.
-    Buckets outside the list are reported as ``unknown``.
+    Loans without an id match nothing. Buckets outside the list are reported as ``unknown``.
     """
 
     def side(tape: DataFrame, is_before: bool) -> DataFrame:
         known = F.col("arrears_bucket").isin(*ARREARS_BUCKETS)
-        return tape.select(
+        return tape.where(F.col("loan_id").isNotNull()).select(
             "loan_id",
             F.when(known, F.col("arrears_bucket")).otherwise(F.lit("unknown")).alias("bucket"),
             (F.col("current_balance") if is_before else F.lit(0.0)).alias("balance"),

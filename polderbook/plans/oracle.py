@@ -409,8 +409,8 @@ WHERE t.nhg_cap_at_origination <> c.cap"""
   original_principal / gross_household_income AS original_lti, b.pct / 100 AS nibud_factor,
   row_number() OVER (PARTITION BY t.loan_id ORDER BY b.income <= t.gross_household_income DESC,
     CASE WHEN b.income <= t.gross_household_income THEN -b.income ELSE b.income END) AS n
-  FROM tape t JOIN {_NIBUD} ON b.year = {year})
-SELECT loan_id, original_lti, nibud_factor, original_lti > nibud_factor AS exceeds_nibud
+  FROM tape t LEFT JOIN {_NIBUD} ON b.year = {year})
+SELECT loan_id, original_lti, nibud_factor, original_lti > nibud_factor AS exceeds_nibud, nibud_factor IS NOT NULL AS assessed
 FROM banded WHERE n = 1"""
     old = "CAST(count(*) FILTER (WHERE {a} AND {b}) AS DOUBLE) / count(*) FILTER (WHERE {b})"
 

@@ -149,8 +149,7 @@ _ON_TAPE: dict[str, Callable[[DataFrame], DataFrame]] = {
         "loan_id", "nhg_cap_at_origination", nhg_cap_for(derived.vintage()).alias("published_cap")
     ).where(F.col("nhg_cap_at_origination") != F.col("published_cap")),
     "nibud_lti": lambda t: t.withColumns(nibud_columns())
-    .where(F.col("nibud_factor").isNotNull())
-    .select("loan_id", "original_lti", "nibud_factor", "exceeds_nibud"),
+    .select("loan_id", "original_lti", "nibud_factor", "exceeds_nibud", F.col("nibud_factor").isNotNull().alias("assessed")),
     "profile_shares": lambda t: rounded(
         profile.share_profile(t), annuity_share_post_2013=8, legacy_share_pre_2013=8,
         low_label_share_old_stock=8, high_label_share_new_stock=8, reset_wave_share=8,

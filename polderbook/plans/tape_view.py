@@ -9,135 +9,120 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from polderbook.model import LABELLED_SCHEMA
+from polderbook.model import (
+    BORROWER_TYPES, ENERGY_LABELS, LABELLED_SCHEMA, PROPERTY_TYPES, RATE_TYPES, REPAYMENT_TYPES, SCORE_BANDS,
+    SICR_REASONS, VALUATION_TYPES,
+)
+from polderbook.sources.reference_tables import HRA_RATES, NHG_CAPS
 from polderbook.sources.shared import working_folder
 
-_TAPE_CTES = """
-base AS (
-  SELECT
-    o_orderkey AS k,
-    o_custkey,
-    o_totalprice + 50000 AS prin,
-    2010 + CAST((o_orderkey*31+7) % 16 AS INT) AS yr,
-    CAST(month(o_orderdate) AS INT) AS mo,
-    CAST(least(day(o_orderdate),28) AS INT) AS dy,
-    CAST((o_orderkey*7919+17) % 1009 AS INT) AS h1,
-    CAST((o_orderkey*6101+29) % 1013 AS INT) AS h2,
-    CAST((o_orderkey*4799+41) % 1019 AS INT) AS h3,
-    CAST((o_orderkey*3571+53) % 1021 AS INT) AS h4,
-    CAST((o_orderkey*2203+61) % 1031 AS INT) AS h5,
-    CAST((o_orderkey*1597+71) % 1033 AS INT) AS h6
+def _pick(values: tuple[str, ...], number: str) -> str:
+    """SQL text that takes one of ``values`` by a number, each equally often."""
+    return f"split_part('{','.join(values)}', ',', CAST(1 + {number} % {len(values)} AS INT))"
+
+
+def _by_year(table: dict[int, float], year: str) -> str:
+    cases = " ".join(f"WHEN {y} THEN {float(v)!r}e0" for y, v in sorted(table.items()))
+    return f"CASE {year} {cases} END"
+
+
+YEARS = range(2010, 2026)
+AREAS = ("1602 Enkhuizen", "3861 Nijkerk", "4461 Goes", "5961 Horst", "6811 Arnhem", "7201 Zutphen", "8601 Sneek", "9401 Assen")
+# Every defect sits on the orders whose key this divides.
+DEFECTS = {
+    "balance": 103, "nhg_cap": 107, "interest_only": 109, "value": 113, "income": 127, "valuation": 131,
+    "tax_type": 137, "currency": 139, "postcode": 149, "lifetime": 151, "maturity": 157, "tax_year": 163,
+    "backstop": 167, "label": 173, "lgd": 179, "score": 181, "bullet": 191,
+}
+
+
+def _tape_ctes(orders: str, join: str, customer: str) -> str:
+    hit = {name: f"k % {every} = 0" for name, every in DEFECTS.items()}
+    return f"""
+drawn AS (
+  SELECT o_orderkey AS k, o_custkey AS c, o_totalprice + 40000 AS prin,
+    CAST(month(o_orderdate) AS INT) AS mo, CAST(least(day(o_orderdate), 28) AS INT) AS dy,
+    CAST(substr(o_orderpriority, 1, 1) AS INT) AS pr,
+    CAST({YEARS.start} + (o_orderkey * 5 + o_custkey) % {len(YEARS)} AS INT) AS yr,
+    CAST((o_orderkey * 37 + o_custkey * 11) % 997 AS INT) AS a, CAST((o_orderkey * 53 + o_custkey * 7) % 991 AS INT) AS b,
+    CAST((o_orderkey * 71 + o_custkey * 3) % 983 AS INT) AS d, CAST((o_orderkey * 89 + 5) % 977 AS INT) AS e
   FROM {orders} {join} {customer} ON o_custkey = c_custkey
 ),
-t1 AS (
-  SELECT *,
-    CASE WHEN k%241=0 OR k%271=0 THEN 'AFLOSSINGSVRIJ' WHEN yr<2013 THEN CASE WHEN h1<303 THEN 'ANNUITEIT'
-        WHEN h1<404 THEN 'LINEAIR' WHEN h1<706 THEN 'AFLOSSINGSVRIJ' WHEN h1<858 THEN 'SPAAR' WHEN h1<908
-        THEN 'BANKSPAAR' WHEN h1<979 THEN 'HYBRIDE' ELSE 'BELEGGING' END ELSE CASE WHEN h1<726 THEN
-        'ANNUITEIT' WHEN h1<908 THEN 'LINEAIR' WHEN h1<968 THEN 'AFLOSSINGSVRIJ' WHEN h1<978 THEN
-        'BANKSPAAR' WHEN h1<998 THEN 'HYBRIDE' ELSE 'BELEGGING' END END AS repayment_type,
-    CASE WHEN h2<60 THEN 'VARIABEL' WHEN h2<330 THEN 'RENTEVAST_5J' WHEN h2<750 THEN 'RENTEVAST_10J' WHEN
-        h2<920 THEN 'RENTEVAST_20J' ELSE 'RENTEVAST_30J' END AS rate_type,
-    CASE WHEN k%277=0 THEN '3' WHEN h3<937 THEN '1' WHEN h3<998 THEN '2' ELSE '3' END AS ifrs9_stage,
-    prin * (105e-2 + h4*7e-4) AS pv,
-    1950 + h5 % 74 AS bouwjaar,
-    make_date(yr,mo,dy) AS odate,
-    CASE yr WHEN 2010 THEN 265000e0 WHEN 2011 THEN 350000e0 WHEN 2012 THEN 320000e0 WHEN 2013 THEN
-        290000e0 WHEN 2014 THEN 265000e0 WHEN 2015 THEN 245000e0 WHEN 2016 THEN 231132e0 WHEN 2017 THEN
-        247450e0 WHEN 2018 THEN 265000e0 WHEN 2019 THEN 290000e0 WHEN 2020 THEN 310000e0 WHEN 2021 THEN
-        325000e0 WHEN 2022 THEN 355000e0 WHEN 2023 THEN 405000e0 WHEN 2024 THEN 435000e0 ELSE 450000e0 END
-        AS cap,
-    CASE WHEN yr<=2013 THEN 52e-2 WHEN yr=2014 THEN 515e-3 WHEN yr=2015 THEN 51e-2 WHEN yr=2016 THEN
-        505e-3 WHEN yr=2017 THEN 5e-1 WHEN yr=2018 THEN 495e-3 WHEN yr=2019 THEN 49e-2 WHEN yr=2020 THEN
-        46e-2 WHEN yr=2021 THEN 43e-2 WHEN yr=2022 THEN 4e-1 WHEN yr=2023 THEN 3693e-4 ELSE 3697e-4 END AS
-        hra
-  FROM base
+chosen AS (
+  SELECT *, make_date(yr, mo, dy) AS opened, prin * (13e-1 + b % 50 * 10137e-6) AS worth,
+    CASE WHEN {hit['bullet']} OR {hit['tax_type']} THEN 'AFLOSSINGSVRIJ' WHEN {hit['tax_year']} THEN 'LINEAIR'
+      ELSE {_pick(REPAYMENT_TYPES, 'a')} END AS repays,
+    {_pick(RATE_TYPES, 'b')} AS fixes,
+    CASE WHEN {hit['backstop']} THEN '3' WHEN d % 20 = 0 THEN '3' WHEN d % 20 < 3 THEN '2' ELSE '1' END AS stage,
+    {_by_year(NHG_CAPS, 'yr')} AS cap, {_by_year({y: HRA_RATES[max(y, 2013)] for y in YEARS}, 'yr')} AS relief
+  FROM drawn
 ),
-t1b AS (
+arrears AS (
   SELECT *,
-    (k%223=0) OR (prin<=cap AND h5<567) AS nhg,
-    CASE WHEN k%211=0 THEN prin*105e-2 WHEN repayment_type='AFLOSSINGSVRIJ' THEN prin ELSE prin*(1 -
-        (2025-yr)*(6e-1+h5*4e-4)/30) END AS bal,
-    CASE WHEN k%233=0 THEN prin/7 ELSE prin/(2 + h6*38e-4) END AS inc,
-    CASE WHEN k%277=0 THEN 10 WHEN ifrs9_stage='1' THEN 0 WHEN ifrs9_stage='2' THEN h4%90 ELSE 90+h4%110
-        END AS dpd,
-    CASE WHEN k%263=0 THEN 1e-4 ELSE (5e-4 + h1*1e-5)*(3 + h2%5) END AS pdl,
-    CASE WHEN k%293=0 THEN NULL WHEN h2<557 THEN 'A' WHEN h2<810 THEN 'B' WHEN h2<932 THEN 'C' WHEN h2<993
-        THEN 'D' ELSE 'E' END AS bkr
-  FROM t1
+    CASE WHEN {hit['backstop']} THEN 7 WHEN stage = '3' THEN 95 + e % 200 WHEN stage = '2' THEN e % 88 ELSE 0 END AS late,
+    CASE WHEN {hit['balance']} THEN prin * 12e-1 ELSE prin * (1 - (2025 - yr) * 1937e-5) END AS owed,
+    CASE WHEN {hit['income']} THEN prin / 9 ELSE prin / (25e-1 + e % 20 * 1e-1) END AS income,
+    (prin <= cap AND pr <= 3) OR {hit['nhg_cap']} AS insured,
+    CASE WHEN {hit['score']} THEN NULL ELSE {_pick(SCORE_BANDS, 'e')} END AS band,
+    1e-3 + a * 2e-5 AS pd
+  FROM chosen
 ),
 tape AS (
   SELECT
-    'LN-' || lpad(CAST(k AS STRING),9,'0') AS loan_id,
-    'BO-' || lpad(CAST(o_custkey AS STRING),8,'0') AS borrower_id,
-    CASE WHEN h6<258 THEN 'STARTER' WHEN h6<826 THEN 'DOORSTROMER' ELSE 'OUDERE' END AS borrower_type,
-    odate AS origination_date,
-    CASE WHEN k%269=0 THEN odate ELSE make_date(yr+30,mo,dy) END AS maturity_date,
+    'LN-' || lpad(CAST(k AS STRING), 9, '0') AS loan_id,
+    'BO-' || lpad(CAST(c AS STRING), 8, '0') AS borrower_id,
+    {_pick(BORROWER_TYPES, 'e')} AS borrower_type,
+    opened AS origination_date,
+    CASE WHEN {hit['maturity']} THEN opened ELSE make_date(yr + 20 + pr * 2, mo, dy) END AS maturity_date,
     prin AS original_principal,
-    CASE WHEN k%211=0 THEN prin*105e-2 WHEN repayment_type='AFLOSSINGSVRIJ' THEN prin ELSE prin*(1 -
-        (2025-yr)*(6e-1+h5*4e-4)/30) END AS current_balance,
-    1e-2 + h4*3e-5 AS interest_rate,
-    rate_type,
-    CASE rate_type WHEN 'VARIABEL' THEN NULL WHEN 'RENTEVAST_5J' THEN make_date(yr+5,mo,dy) WHEN
-        'RENTEVAST_10J' THEN make_date(yr+10,mo,dy) WHEN 'RENTEVAST_20J' THEN make_date(yr+20,mo,dy) ELSE
-        make_date(yr+30,mo,dy) END AS rentevast_einddatum,
-    repayment_type,
-    (k%271=0) OR (yr>=2013 AND repayment_type IN ('ANNUITEIT','LINEAIR')) AS tax_deduction_eligible,
-    hra AS hra_phase_out_rate,
-    CASE WHEN k%227=0 THEN pv*65e-2 WHEN repayment_type='AFLOSSINGSVRIJ' THEN prin*9e-1 WHEN
-        repayment_type='HYBRIDE' THEN prin*4e-1 ELSE 0e0 END AS interest_only_portion,
-    CASE WHEN k%251=0 THEN 'USD' ELSE 'EUR' END AS currency,
-    pv AS property_value_at_origination,
-    pv AS taxatie_waarde,
-    CASE WHEN k%239=0 THEN make_date(yr-4,mo,dy) WHEN h6<800 THEN make_date(2023 + h6%2, mo, dy) ELSE
-        odate END AS taxatie_date,
-    CASE WHEN h1%20=0 THEN 'EXECUTIEWAARDE' WHEN h1%20<3 THEN 'MODELMATIG' ELSE 'MARKETVALUE' END AS
-        taxatie_type,
-    pv*(8e-1 + h2*14e-5) AS woz_waarde,
-    make_date(least(yr+1,2025),1,1) AS woz_reference_date,
-    CASE WHEN k%229=0 THEN 0e0 ELSE pv*(1 + (2025-yr)*35e-3) END AS property_value_current,
-    CASE WHEN k%257=0 THEN '1011ab' ELSE CASE h1%12 WHEN 0 THEN '1011' WHEN 1 THEN '1071' WHEN 2 THEN
-        '2511' WHEN 3 THEN '3011' WHEN 4 THEN '3511' WHEN 5 THEN '5611' WHEN 6 THEN '9711' WHEN 7 THEN
-        '8911' WHEN 8 THEN '6211' WHEN 9 THEN '7511' WHEN 10 THEN '4811' WHEN 11 THEN '2011' END ||
-        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ',1 + h2%26,1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ',1 +
-        h3%26,1) END AS pc6,
-    CASE h1%12 WHEN 0 THEN 'Amsterdam' WHEN 1 THEN 'Amsterdam' WHEN 2 THEN 'Den Haag' WHEN 3 THEN
-        'Rotterdam' WHEN 4 THEN 'Utrecht' WHEN 5 THEN 'Eindhoven' WHEN 6 THEN 'Groningen' WHEN 7 THEN
-        'Leeuwarden' WHEN 8 THEN 'Maastricht' WHEN 9 THEN 'Enschede' WHEN 10 THEN 'Breda' WHEN 11 THEN
-        'Haarlem' END AS gemeente,
-    CASE h4%5 WHEN 0 THEN 'APPARTEMENT' WHEN 1 THEN 'TUSSENWONING' WHEN 2 THEN 'HOEKWONING' WHEN 3 THEN
-        '2-ONDER-1-KAP' WHEN 4 THEN 'VRIJSTAAND' END AS property_type,
-    bouwjaar,
-    CASE WHEN k%281=0 THEN 'H' WHEN bouwjaar<1992 THEN substr('CDEFG',1+h6%5,1) WHEN bouwjaar<2015 THEN
-        substr('ABCDE',1+h6%5,1) ELSE 'A' || substr('++++',1,h6%5) END AS energy_label,
-    nhg AS nhg_flag,
-    CASE WHEN k%223=0 THEN prin/115e-2 ELSE cap END AS nhg_cap_at_origination,
-    CASE WHEN nhg THEN prin*5e-3 ELSE 0e0 END AS nhg_premium_paid,
-    5e-4 + h1*1e-5 AS pd_12m,
-    CASE WHEN k%263=0 THEN 1e-4 ELSE (5e-4 + h1*1e-5)*(3 + h2%5) END AS pd_lifetime,
-    CASE WHEN k%283=0 THEN 12e-1 WHEN h5<567 THEN 2e-2 ELSE h3*3e-4 END AS lgd,
-    bal AS ead,
-    ifrs9_stage,
-    CASE ifrs9_stage WHEN '1' THEN 'NONE' WHEN '2' THEN 'QUANT_PD_INCREASE' ELSE 'DPD_30_BACKSTOP' END AS
-        sicr_trigger_reason,
-    CASE WHEN k%277=0 THEN 10 WHEN ifrs9_stage='1' THEN 0 WHEN ifrs9_stage='2' THEN h4%90 ELSE 90+h4%110
-        END AS days_past_due,
-    CASE WHEN dpd=0 THEN '0' WHEN dpd<=30 THEN '1-30' WHEN dpd<=60 THEN '31-60' WHEN dpd<90 THEN '61-90'
-        ELSE '90+' END AS arrears_bucket,
-    k%277<>0 AND ((ifrs9_stage='2' AND h5%10<3) OR (ifrs9_stage='3' AND h5%10<4)) AS restructured_flag,
-    ifrs9_stage='2' AND h6%25=0 AS watchlist_flag,
-    k%277<>0 AND ifrs9_stage='3' AND h6%2=0 AS unlikely_to_pay_flag,
-    CASE WHEN nhg THEN 8e-2 ELSE 35e-2 + 6e-1*pdl END AS risk_weight,
-    CASE WHEN k%233=0 THEN prin/7 ELSE prin/(2 + h6*38e-4) END AS gross_household_income,
-    h3%20<11 AS partner_income_included,
-    greatest(0e0,(h1-400)*2e1) AS student_loan_debt,
-    bkr AS bkr_score_band,
-    coalesce(bkr IN ('D','E'),false) AS bkr_negative_registration_flag,
-    inc/(bal*(3e-2 + h4*3e-5)) AS dscr,
-    CASE WHEN k%223=0 THEN 'NHG_CAP_BREACH_BATCH' WHEN k%227=0 THEN 'HIGH_INTEREST_ONLY_CLUSTER' WHEN
-        k%239=0 THEN 'STALE_TAXATIE_CLUSTER' WHEN k%241=0 THEN 'HIGH_AFLOSSINGSVRIJ_COHORT' END AS
-        easter_egg
-  FROM t1b
+    owed AS current_balance,
+    15e-3 + b * 3e-5 AS interest_rate,
+    fixes AS rate_type,
+    CASE WHEN fixes <> 'VARIABEL' THEN make_date(yr + pr * 4, mo, dy) END AS rentevast_einddatum,
+    repays AS repayment_type,
+    (repays IN ('ANNUITEIT', 'LINEAIR') AND yr >= 2013) OR {hit['tax_type']} OR {hit['tax_year']} AS tax_deduction_eligible,
+    relief AS hra_phase_out_rate,
+    CASE WHEN {hit['interest_only']} THEN worth * 85e-2 WHEN repays = 'AFLOSSINGSVRIJ' THEN worth * 4e-1
+      WHEN repays = 'HYBRIDE' THEN worth * 2e-1 ELSE 0e0 END AS interest_only_portion,
+    CASE WHEN {hit['currency']} THEN 'GBP' ELSE 'EUR' END AS currency,
+    worth AS property_value_at_origination,
+    worth * 98e-2 AS taxatie_waarde,
+    CASE WHEN {hit['valuation']} THEN make_date(yr - 6, mo, dy) ELSE make_date(2024, mo, dy) END AS taxatie_date,
+    {_pick(VALUATION_TYPES, 'd')} AS taxatie_type,
+    worth * 9e-1 AS woz_waarde,
+    make_date(least(yr + 1, 2025), 1, 1) AS woz_reference_date,
+    CASE WHEN {hit['value']} THEN 0e0 ELSE worth * (1 + (2025 - yr) * 2113e-5) END AS property_value_current,
+    CASE WHEN {hit['postcode']} THEN '16o2xy' ELSE substr({_pick(AREAS, 'c')}, 1, 4) || chr(65 + a % 26) || chr(65 + b % 26) END AS pc6,
+    substr({_pick(AREAS, 'c')}, 6) AS gemeente,
+    {_pick(PROPERTY_TYPES, 'a')} AS property_type,
+    1930 + d % 90 AS bouwjaar,
+    CASE WHEN {hit['label']} THEN 'H' ELSE {_pick(ENERGY_LABELS, 'd')} END AS energy_label,
+    insured AS nhg_flag,
+    CASE WHEN {hit['nhg_cap']} THEN prin * 7e-1 ELSE cap END AS nhg_cap_at_origination,
+    CASE WHEN insured THEN 750e0 + pr ELSE 0e0 END AS nhg_premium_paid,
+    pd AS pd_12m,
+    CASE WHEN {hit['lifetime']} THEN pd / 2 ELSE pd * (2 + pr) END AS pd_lifetime,
+    CASE WHEN {hit['lgd']} THEN 135e-2 ELSE 5e-2 + e * 2e-4 END AS lgd,
+    owed AS ead,
+    stage AS ifrs9_stage,
+    CASE stage WHEN '1' THEN 'NONE' WHEN '2' THEN {_pick(SICR_REASONS[1:], 'a')} ELSE 'DPD_30_BACKSTOP' END AS sicr_trigger_reason,
+    late AS days_past_due,
+    CASE WHEN late = 0 THEN '0' WHEN late <= 30 THEN '1-30' WHEN late <= 60 THEN '31-60' WHEN late < 90 THEN '61-90'
+      ELSE '90+' END AS arrears_bucket,
+    stage <> '1' AND e % 4 = 0 AND NOT ({hit['backstop']}) AS restructured_flag,
+    stage = '2' AND a % 5 = 0 AS watchlist_flag,
+    stage = '3' AND b % 3 = 0 AND NOT ({hit['backstop']}) AS unlikely_to_pay_flag,
+    CASE WHEN insured THEN 1e-1 ELSE 2e-1 + pr * 5e-2 END AS risk_weight,
+    income AS gross_household_income,
+    a % 2 = 0 AS partner_income_included,
+    CAST(d % 10 * 2500 AS DOUBLE) AS student_loan_debt,
+    band AS bkr_score_band,
+    coalesce(band = 'E', false) AS bkr_negative_registration_flag,
+    11e-1 + e * 2e-3 AS dscr,
+    CASE WHEN {hit['nhg_cap']} THEN 'NHG_CAP_BREACH_BATCH' WHEN {hit['interest_only']} THEN 'HIGH_INTEREST_ONLY_CLUSTER'
+      WHEN {hit['valuation']} THEN 'STALE_TAXATIE_CLUSTER' WHEN {hit['bullet']} THEN 'HIGH_AFLOSSINGSVRIJ_COHORT' END
+      AS easter_egg
+  FROM arrears
 )
 """
 
@@ -166,7 +151,7 @@ next_tape AS (
 
 def oracle_prefix(next_tape: bool = False) -> str:
     """``WITH`` clause that defines ``tape`` (and ``next_tape``) over plain table names."""
-    ctes = _TAPE_CTES.format(orders="orders", join="JOIN", customer="customer").strip()
+    ctes = _tape_ctes("orders", "JOIN", "customer").strip()
     return "WITH " + ctes + ("," + _NEXT_TAPE_CTE if next_tape else "\n")
 
 
@@ -177,7 +162,7 @@ def derive_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
     key column, keeps the big side split by AQE when a key is hot, and is
     broadcast only when Spark's own size estimate allows it.
     """
-    ctes = _TAPE_CTES.format(orders="{orders}", join="LEFT SEMI JOIN", customer="{customer}")
+    ctes = _tape_ctes("{orders}", "LEFT SEMI JOIN", "{customer}")
     return spark.sql(
         f"WITH {ctes.strip()} SELECT * FROM tape",
         orders=spark.read.parquet(f"{sf_dir}/orders.parquet"),
@@ -198,12 +183,8 @@ def tape_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WRITTEN:
         path = working_folder(spark, "tape")
-        tape = derive_tape(spark, sf_dir)
-        cores = spark.sparkContext.defaultParallelism
-        if tape.rdd.getNumPartitions() < cores:
-            # Too few input splits to occupy the cores; never the case on large input.
-            tape = tape.repartition(cores, "loan_id")
-        tape.write.parquet(path)
+        # Files of even size, as many as the session has cores or the size asks for.
+        derive_tape(spark, sf_dir).hint("rebalance", "loan_id").write.parquet(path)
         _WRITTEN[key] = path
     return spark.read.schema(LABELLED_SCHEMA).parquet(_WRITTEN[key])
 

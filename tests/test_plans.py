@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as driver
 from polderbook.operators import anacredit, kpis, rules, sicr, stress, validation
+from polderbook.plans import oracle
+from polderbook.plans import queries as registry
 from polderbook.plans.tape_view import tape_view
 from polderbook.sources import store
 from tests.oracle_check import compare, connection
@@ -30,9 +32,9 @@ def plan(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_agrees_with_sql(spark, con, name):
-    frame = driver.queries()[name](spark, SF)
+    frame = registry.queries()[name](spark, SF)
     # No Python in the tasks and no pairing of everything with everything.
     assert not re.search(
         r"Python|ArrowEval|MapInPandas|CartesianProduct|NestedLoop", plan(frame)
@@ -41,7 +43,7 @@ def test_query_agrees_with_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracles())
 
 
 def test_entry(spark):
