@@ -7,6 +7,11 @@ round and joins nearly all of a large group. Then, in
 buckets whose texts do not all belong to one class yet, the pairs across classes
 are compared. Pairs within a class cannot change it, so the classes are those of
 all pairs of all buckets, without writing out the pairs of a group.
+
+Both joins carry an odd sketch of each text: a row of bits in which every
+shingle flips one. Two texts differ in at least as many shingles as bits, so a
+pair whose bits differ too often is below the threshold for certain and leaves
+the join no row. The test loses no pair; for very long texts it rejects little.
 """
 
 from __future__ import annotations
@@ -27,7 +32,10 @@ Compare = Callable[[object, object], float]
 #: Words of prepared texts that a task remembers.
 REMEMBER_WORDS = 1_000_000
 #: Rounds against one leading text per bucket, before the pairs across classes.
-ROUNDS = 3
+ROUNDS = 2
+#: Bits of an odd sketch, and the columns that hold them, 64 each.
+ODD_BITS = 256
+ODD = [f"o{i}" for i in range(ODD_BITS // 64)]
 #: Words that one numpy step works on, so that its arrays stay small.
 STEP_WORDS = 400_000
 
@@ -79,6 +87,15 @@ def shingles(words: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarr
     return out, counts
 
 
+def odd_sketch(values: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """The columns ``ODD`` of texts with ``counts`` distinct ``values`` each."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    bit = (mixed(values, 79) % np.uint64(ODD_BITS)).astype(np.int64)
+    flips = np.bincount(owner * ODD_BITS + bit, minlength=len(counts) * ODD_BITS) & 1
+    packed = np.packbits(flips.astype(np.uint8).reshape(len(counts), ODD_BITS), axis=1)
+    return [np.ascontiguousarray(packed[:, at:at + 8]).view(np.int64).ravel() for at in range(0, ODD_BITS // 8, 8)]
+
+
 def verified(
     pairs: DataFrame, members: DataFrame, raw: DataFrame, verify: tuple[Prepare, Compare], scratch: Scratch, name: str
 ) -> DataFrame:
@@ -131,20 +148,34 @@ def verified(
 
 
 def _alike(a: str, b: str, least: float) -> Column:
-    """False where the shingle counts alone keep two texts below ``least``."""
-    return F.least(a, b) >= F.greatest(a, b) * F.lit(least)
+    """False where shingle counts or odd sketches prove two texts to be below ``least``.
+
+    ``a`` and ``b`` are prefixes of the columns. At similarity s, texts of n and m
+    shingles differ in (n + m) (1 - s) / (1 + s) of them.
+    """
+    n, m = F.col(f"{a}size"), F.col(f"{b}size")
+    apart = sum((F.bit_count(F.col(f"{a}{o}").bitwiseXOR(F.col(f"{b}{o}"))) for o in ODD), F.lit(0))
+    return (F.least(n, m) >= F.greatest(n, m) * F.lit(least)) & (
+        apart <= (n + m) * F.lit((1 - least) / (1 + least) + 1e-9))
+
+
+def _named(live: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """``live`` with ``part``, the class that each text has so far."""
+    if parts is None:
+        return live.withColumn("part", F.col("id"))
+    return live.join(parts, "id", "left").select(*live.columns, F.coalesce("component", "id").alias("part"))
 
 
 def classes(
     members: DataFrame, bands: list[str], raw: DataFrame, verify: tuple[Prepare, Compare], least: float,
-    scratch: Scratch, agree: int = 1,
+    scratch: Scratch,
 ) -> tuple[DataFrame, DataFrame]:
     """(links, components): links (a, b, similarity), components (id, component).
 
-    ``members`` has (id, raw, size) and a column per band; size is the number of shingles.
-    Pairs across classes are compared if they agree on ``agree`` bands.
+    ``members`` has (id, raw, size), the columns ``ODD`` and a column per band; size is the
+    number of distinct shingles.
     """
-    rows = members.select("id", "size", F.explode(F.array(*bands)).alias("bucket"))
+    rows = members.select("id", "size", *ODD, F.explode(F.array(*bands)).alias("bucket"))
     firsts = scratch.small(
         rows.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
         .select("bucket"), "firsts",
@@ -152,29 +183,31 @@ def classes(
     live = scratch.write(rows.join(firsts, "bucket", "left_semi").distinct(), "live")
     links = stars = parts = None
     for turn in range(ROUNDS):
-        # another text of each bucket leads in each round; texts already in its class are not compared
-        order = F.struct((F.xxhash64("id", F.lit(turn)) if turn else F.col("id")).alias("order"), "id", "size", "part")
-        named = live.withColumn("part", F.col("id")) if parts is None else live.join(parts, "id", "left").select(
-            "bucket", "id", "size", F.coalesce("component", "id").alias("part"))
+        # the smallest text leads first, then another one in each bucket; texts already in its class are not compared
+        order = F.struct((F.xxhash64("id", "bucket", F.lit(turn)) if turn else F.col("id")).alias("order"),
+                         "id", "size", "part", *ODD)
+        named = _named(live, parts)
         leaders = scratch.small(named.groupBy("bucket").agg(F.min(order).alias("lead")).select(
-            "bucket", F.col("lead.id").alias("first"), F.col("lead.size").alias("first_size"),
-            F.col("lead.part").alias("first_part")), f"leaders-{turn}")
+            "bucket", *[F.col(f"lead.{c}").alias(f"first_{c}") for c in ("id", "size", "part", *ODD)]), f"leaders-{turn}")
         pairs = named.join(leaders, "bucket").where(
-            (F.col("part") != F.col("first_part")) & _alike("size", "first_size", least)
-        ).select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b")).distinct()
+            (F.col("part") != F.col("first_part")) & _alike("", "first_", least)
+        ).select(F.least("id", "first_id").alias("a"), F.greatest("id", "first_id").alias("b")).distinct()
         new = scratch.write(pairs if stars is None else pairs.join(stars, ["a", "b"], "left_anti"), f"stars-{turn}")
         found = verified(new, members, raw, verify, scratch, f"links-{turn}")
         links = found if links is None else links.unionByName(found)
         stars = new if stars is None else stars.unionByName(new)
         parts = components(links, scratch, f"part-{turn}")
-    named = live.join(parts, "id", "left").select("bucket", "id", "size", F.coalesce("component", "id").alias("part"))
+    named = _named(live, parts)
     mixed_up = named.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
     open_rows = scratch.write(named.join(mixed_up.select("bucket"), "bucket", "left_semi"), "open")
-    left = open_rows.select("bucket", F.col("id").alias("a"), F.col("part").alias("part_a"), F.col("size").alias("size_a"))
-    right = open_rows.select("bucket", F.col("id").alias("b"), F.col("part").alias("part_b"), F.col("size").alias("size_b"))
+    left, right = (
+        open_rows.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("id", "part", "size", *ODD)])
+        for side in ("left", "right")
+    )
     across = left.join(right, "bucket").where(
-        (F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")) & _alike("size_a", "size_b", least)
-    ).groupBy("a", "b").agg(F.count_distinct("bucket").alias("n")).where(F.col("n") >= agree).select("a", "b")
+        (F.col("left_id") < F.col("right_id")) & (F.col("left_part") != F.col("right_part"))
+        & _alike("left_", "right_", least)
+    ).select(F.col("left_id").alias("a"), F.col("right_id").alias("b")).distinct()
     rest = scratch.write(across.join(stars, ["a", "b"], "left_anti"), "rest")
     final = parts
     if rest.limit(1).count():

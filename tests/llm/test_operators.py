@@ -6,11 +6,12 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
 from polderbook.llm import (
-    components, decontaminate, exact_dedup, licenses, mixing, order_minhash, paragraph_dedup, pii, secrets,
+    components, decontaminate, exact_dedup, licenses, mixing, near, order_minhash, paragraph_dedup, pii, secrets,
     token_counts, toxicity,
 )
 from polderbook.llm.common import Scratch
@@ -266,3 +267,17 @@ def test_pipeline_stages(spark, odd):
         out = stage(spark, frame(spark, odd), sf)
         assert out.columns == frame(spark, odd).columns and out.count() <= len(odd)
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_odd_sketches_reject_no_similar_pair():
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    for size in (1, 5, 150, 3000):
+        for apart in {0, 1, size // 9, size // 4, size}:
+            a = base[:size]
+            b = np.concatenate([a[apart:], rng.integers(0, 1 << 63, apart, dtype=np.uint64)])
+            columns = near.odd_sketch(np.concatenate([a, b]), np.array([size, size]))
+            differing = sum((int(c[0] ^ c[1]) % (1 << 64)).bit_count() for c in columns)
+            assert differing <= 2 * apart
+            assert apart or not differing
+    assert len(near.odd_sketch(base[:4], np.array([4]))) == len(near.ODD)
