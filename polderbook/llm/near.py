@@ -12,6 +12,7 @@ Both joins carry an odd sketch of each text: a row of bits in which every
 shingle flips one. Two texts differ in at least as many shingles as bits, so a
 pair whose bits differ too often is below the threshold for certain and leaves
 the join no row. The test loses no pair; for very long texts it rejects little.
+A pair across classes is written in the smallest of its common buckets only.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ REMEMBER_WORDS = 1_000_000
 #: Rounds against one leading text per bucket, before the pairs across classes.
 ROUNDS = 2
 #: Bits of an odd sketch, and the columns that hold them, 64 each.
-ODD_BITS = 256
+ODD_BITS = 1024
 ODD = [f"o{i}" for i in range(ODD_BITS // 64)]
 #: Words that one numpy step works on, so that its arrays stay small.
 STEP_WORDS = 400_000
@@ -175,7 +176,7 @@ def classes(
     ``members`` has (id, raw, size), the columns ``ODD`` and a column per band; size is the
     number of distinct shingles.
     """
-    rows = members.select("id", "size", *ODD, F.explode(F.array(*bands)).alias("bucket"))
+    rows = members.select("id", "size", *ODD, F.array(*bands).alias("all")).withColumn("bucket", F.explode("all"))
     firsts = scratch.small(
         rows.groupBy("bucket").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
         .select("bucket"), "firsts",
@@ -201,13 +202,14 @@ def classes(
     mixed_up = named.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
     open_rows = scratch.write(named.join(mixed_up.select("bucket"), "bucket", "left_semi"), "open")
     left, right = (
-        open_rows.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("id", "part", "size", *ODD)])
+        open_rows.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("id", "part", "size", "all", *ODD)])
         for side in ("left", "right")
     )
     across = left.join(right, "bucket").where(
         (F.col("left_id") < F.col("right_id")) & (F.col("left_part") != F.col("right_part"))
         & _alike("left_", "right_", least)
-    ).select(F.col("left_id").alias("a"), F.col("right_id").alias("b")).distinct()
+        & (F.array_min(F.array_intersect("left_all", "right_all")) == F.col("bucket"))
+    ).select(F.col("left_id").alias("a"), F.col("right_id").alias("b"))
     rest = scratch.write(across.join(stars, ["a", "b"], "left_anti"), "rest")
     final = parts
     if rest.limit(1).count():
