@@ -123,6 +123,12 @@ def alignment(a: dict[int, int], b: dict[int, int], least: float = SIMILARITY) -
 def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(classes, links): classes has doc_id, class_id, class_size, kept for every row of ``docs``;
     links has doc_a, doc_b, similarity between the smallest documents of two texts."""
+    rows, pairs = _classed(docs)
+    return rows.drop("raw"), pairs
+
+
+def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``near_classes`` with ``raw``, the hash of the row's text, in the classes."""
     scratch = Scratch(docs.sparkSession, "near")
     sketches = [f"s{i}" for i in range(SKETCHES)]
     texts = docs.select("doc_id", text_of().alias("text"))
@@ -136,10 +142,10 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links, parts = classes(members, sketches, texts.select("text"), (kmers, alignment), SIMILARITY, scratch)
     part = F.coalesce("component", "id")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
-    placed = members.join(parts, "id", "left").select("doc_id", "row", part.alias("part"))
+    placed = members.join(parts, "id", "left").select("doc_id", "raw", "row", part.alias("part"))
     groups = scratch.small(placed.groupBy("part").agg(first, F.count("*").alias("n")).where("n > 1"), "groups")
     out = placed.join(groups, "part", "left").select(
-        "doc_id",
+        "doc_id", "raw",
         F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
         F.coalesce("n", F.lit(1).cast("bigint")).alias("class_size"),
         (F.col("n").isNull() | (F.col("row") == F.col("first.row"))).alias("kept"),
@@ -152,17 +158,27 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document is the smallest of its class.
+    """One row of ``docs`` per class, that of the smallest document.
 
-    The ids that go are removed by an anti-join, so the texts that stay are not
-    shuffled while the list is small. Rows that repeat a ``doc_id`` stay or go
-    with the kept one; of several rows with a null ``doc_id`` in a class of
-    their own all stay.
+    Rows go by ``doc_id``, null included, and the hash of their text, so rows that
+    repeat a ``doc_id`` with another text are judged on their own. The keys that go
+    are removed by an anti-join, so the texts that stay are not shuffled while the
+    list is small. Of rows alike in both keys the one with the smallest hash over
+    its columns stays.
     """
     scratch = Scratch(docs.sparkSession, "near-dedup")
-    found, _ = near_classes(docs)
-    gone = scratch.small(
-        found.where("class_id is not null and doc_id is not null and doc_id <> class_id").select("doc_id").distinct(),
-        "gone",
+    found, _ = _classed(docs)
+    keys = scratch.write(
+        found.where("class_size > 1").groupBy(F.col("doc_id").alias("_doc_id"), F.col("raw").alias("_raw"))
+        .agg(F.max("kept").alias("_kept"), F.count("*").alias("_n")), "keys"
     )
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64(text_of()) == F.col("_raw"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    stayed = docs.join(scratch.small(keys.where("not _kept").select("_doc_id", "_raw"), "gone"), same, "left_anti")
+    tied = scratch.small(keys.where("_kept and _n > 1").select("_doc_id", "_raw"), "tied")
+    if tied.limit(1).count():
+        hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+        one = stayed.join(tied, same).groupBy("_doc_id", "_raw").agg(
+            F.min_by(F.struct(*columns), F.xxhash64(*hashed)).alias("_one"))
+        stayed = stayed.join(tied, same, "left_anti").select(*columns).unionByName(one.select("_one.*"))
+    return stayed.select(*columns)

@@ -121,6 +121,24 @@ def test_near_classes_equal_all_pairs(spark, words, odd):
     assert order_minhash.near_classes(empty(spark))[0].count() == 0
 
 
+def test_near_dedup_keeps_one_row_of_each_class(spark, words):
+    rng = random.Random(13)
+    base, other, third = ([rng.choice(words) for _ in range(80)] for _ in range(3))
+    copy = lambda text: " ".join([*text[:40], "changed", *text[41:]])
+    a, b, c = (" ".join(t) for t in (base, other, third))
+    rows = [
+        (1, a, "a"), (2, copy(base), "a"), (2, b, "a"),  # id 2: a near copy of 1, and a text of its own
+        (3, c, "a"), (3, copy(third), "b"), (4, "alone here", "a"),  # near copies under one id
+        (None, copy(base), "a"), (None, copy(other), "a"),  # null ids next to kept documents
+        *[(None, " ".join(f"null{i}" for i in range(60)) + end, "a") for end in ("", " x", " x", " y")],
+        (5, "same row twice", "a"), (5, "same row twice", "b"), (6, "same row twice", "a"),
+    ]
+    stayed = order_minhash.near_dedup(frame(spark, rows))
+    assert stayed.columns == frame(spark, rows).columns
+    got = sorted((str(r["doc_id"]), r["text"].split(" ")[0]) for r in stayed.collect())
+    assert got == sorted([("1", base[0]), ("2", other[0]), ("3", third[0]), ("4", "alone"), ("None", "null0"), ("5", "same")])
+
+
 def test_alignment_needs_order():
     a = [f"w{i}" for i in range(60)]
     moved = a[30:] + a[:30]
