@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from polderbook.sources.shared import working_folder
@@ -63,3 +63,28 @@ class Scratch:
         for name in names:
             path, fs = self._path(name)
             fs.delete(path, True)
+
+
+def numbered(rows: DataFrame, group: str, keys: list[Column], scratch: Scratch, name: str, **sums: str) -> DataFrame:
+    """``rows`` with ``place``, counted from 0 within ``group``, and ``total``, the rows of the group.
+
+    ``keys`` order the rows and must begin with what orders the groups. Rows are range
+    partitioned and sorted once; a task numbers its own rows and the counts of the tasks
+    before it are added, so a group may spread over any number of tasks. ``sums`` adds
+    columns with the sum of a column over the whole group. Keep ``rows`` narrow. The
+    tables ``name`` and ``name-parts`` stay until the caller drops them.
+    """
+    placed = scratch.write(
+        rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id()),
+        name,
+    )
+    parts = placed.groupBy(group, F.shiftright("at", 33).alias("part")).agg(
+        F.min("at").alias("first"), F.count("*").alias("n"), *[F.sum(c).alias(out) for out, c in sums.items()])
+    whole = Window.partitionBy(group)
+    ahead = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    plan = scratch.write(parts.select(
+        F.col(group).alias("of"), "part", (F.coalesce(F.sum("n").over(ahead), F.lit(0)) - F.col("first")).alias("shift"),
+        F.sum("n").over(whole).alias("total"), *[F.sum(out).over(whole).alias(out) for out in sums],
+    ), f"{name}-parts")
+    here = (F.shiftright("at", 33) == F.col("part")) & F.col(group).eqNullSafe(F.col("of"))
+    return placed.join(plan, here).withColumn("place", F.col("at") + F.col("shift")).drop("at", "shift", "part", "of")

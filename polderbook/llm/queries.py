@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polderbook.llm import (
-    decontaminate, exact_dedup, licenses, mixing, order_minhash, paragraph_dedup, pii, secrets, token_counts, toxicity,
+    decontaminate, exact_dedup, licenses, merkle, mixing, order_minhash, paragraph_dedup, pii, secrets, token_counts,
+    toxicity,
 )
-from polderbook.llm.common import table
+from polderbook.llm.common import Scratch, table
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +61,23 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    one_more = F.col("n_chars").cast("decimal(20,0)") + 1
+    parts = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    leaf = merkle.leaf(*parts)
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, merkle.leaf(*parts[:3], one_more, parts[4]))
+    rows = docs.select(
+        F.col("lang").alias("tree"), F.col("doc_id").alias("key"), leaf.alias("digest"),
+        F.struct("doc_id", changed.alias("tampered")).alias("row"))
+    scratch = Scratch(spark, "merkle")
+    proven = merkle.proofs(merkle.build(rows, scratch, "row"), scratch, "row")
+    folded = merkle.fold(F.coalesce("row.tampered", "digest"), F.col("path"))
+    return proven.select(
+        "row.doc_id", F.col("digest").alias("leaf"), "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -69,7 +87,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_pii, op2_licenses, op3_toxicity, op4_decontamination, op5_mix, op6_near_duplicates, op7_token_counts,
-        op8_secrets, op9_paragraphs, op10_exact, pipeline,
+        op8_secrets, op9_paragraphs, op10_exact, op13_merkle, pipeline,
     )
     return {q.__name__: q for q in named}
 
@@ -176,11 +194,72 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM keyed WINDOW same AS (PARTITION BY text_sha256)"""
 
 
+OP13_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))
+),
+spelled AS (
+  SELECT doc_id, lang,
+    concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-'),
+      coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-')) AS head,
+    coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS chars,
+    coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || CAST(n_chars + 1 AS VARCHAR), '-') AS more,
+    coalesce(strlen(text) || ':' || text, '-') AS tail,
+    xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 7 = 0 AS changed
+  FROM documents, crc_table
+),
+leaves AS (
+  SELECT doc_id, lang, sha256(head || chars || tail) AS leaf,
+    CASE WHEN changed THEN sha256(head || more || tail) ELSE sha256(head || chars || tail) END AS shown
+  FROM spelled
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS LAST, leaf) - 1 AS place FROM leaves
+),
+grown AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM grown WHERE len(nodes) > 1
+),
+tops AS (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS top_place FROM grown WHERE len(nodes) = 1
+),
+over AS (
+  SELECT 0 AS level, list(subroot ORDER BY top_place) AS nodes FROM tops
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM over WHERE len(nodes) > 1
+),
+steps AS (
+  SELECT lang, list({'level': level, 'nodes': nodes} ORDER BY level) FILTER (len(nodes) > 1) AS levels FROM grown GROUP BY lang
+),
+over_steps AS (SELECT list({'level': level, 'nodes': nodes} ORDER BY level) FILTER (len(nodes) > 1) AS levels FROM over),
+paths AS (
+  SELECT p.doc_id, p.leaf, p.shown, t.subroot, (SELECT nodes[1] FROM over WHERE len(nodes) = 1) AS root,
+    list_concat(
+      list_transform(coalesce(s.levels, []), lambda l: {'left': (p.place >> l.level) & 1, 'digest': coalesce(l.nodes[xor(p.place >> l.level, 1) + 1], '')}),
+      list_transform(coalesce(o.levels, []), lambda l: {'left': (t.top_place >> l.level) & 1, 'digest': coalesce(l.nodes[xor(t.top_place >> l.level, 1) + 1], '')})) AS path
+  FROM placed p JOIN tops t ON p.lang IS NOT DISTINCT FROM t.lang JOIN steps s ON p.lang IS NOT DISTINCT FROM s.lang CROSS JOIN over_steps o
+),
+folded AS (
+  SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s.digest), '')) AS proof_sha256,
+    list_reduce(list_prepend({'left': CAST(0 AS BIGINT), 'digest': shown}, path),
+      lambda node, s: {'left': CAST(0 AS BIGINT), 'digest': sha256(CASE WHEN s.left = 1 THEN s.digest || node.digest ELSE node.digest || s.digest END)}).digest AS folded_root
+  FROM paths
+)
+SELECT *, folded_root = root AS verified FROM folded"""
+
+
 def oracles() -> dict[str, str]:
     import corpus_pipeline
 
     found = {
         "op2_licenses": _license_sql(), "op4_decontamination": OP4_SQL, "op5_mix": OP5_SQL, "op10_exact": OP10_SQL,
+        "op13_merkle": OP13_SQL,
     }
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
