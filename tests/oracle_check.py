@@ -15,7 +15,7 @@ import duckdb  # noqa: E402
 
 import __spark_entry__ as driver  # noqa: E402
 
-TABLES = ("orders", "customer")
+TABLES = ("orders", "customer", "documents", "benchmark", "labels")
 
 
 def connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
