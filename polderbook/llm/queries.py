@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polderbook.llm import (
     decontaminate, exact_dedup, licenses, merkle, mixing, order_minhash, paragraph_dedup, pii, secrets, token_counts,
-    toxicity,
+    token_files, toxicity,
 )
 from polderbook.llm.common import Scratch, table
 
@@ -61,6 +62,13 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "token-files")
+    folder = f"{scratch.folder}/shards"
+    token_files.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, folder, scratch)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     one_more = F.col("n_chars").cast("decimal(20,0)") + 1
@@ -87,7 +95,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_pii, op2_licenses, op3_toxicity, op4_decontamination, op5_mix, op6_near_duplicates, op7_token_counts,
-        op8_secrets, op9_paragraphs, op10_exact, op13_merkle, pipeline,
+        op8_secrets, op9_paragraphs, op10_exact, op11_token_files, op13_merkle, pipeline,
     )
     return {q.__name__: q for q in named}
 
