@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polderbook.llm import (
-    decontaminate, exact_dedup, licenses, merkle, mixing, order_minhash, paragraph_dedup, pii, secrets, token_counts,
+    decontaminate, exact_dedup, licenses, merkle, mixing, order_minhash, paragraph_dedup, phrases, pii, secrets, token_counts,
     token_files, toxicity,
 )
 from polderbook.llm.common import Scratch, table
@@ -69,6 +69,10 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, folder, scratch)
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     one_more = F.col("n_chars").cast("decimal(20,0)") + 1
@@ -95,7 +99,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_pii, op2_licenses, op3_toxicity, op4_decontamination, op5_mix, op6_near_duplicates, op7_token_counts,
-        op8_secrets, op9_paragraphs, op10_exact, op11_token_files, op13_merkle, pipeline,
+        op8_secrets, op9_paragraphs, op10_exact, op11_token_files, op12_phrases, op13_merkle, pipeline,
     )
     return {q.__name__: q for q in named}
 
@@ -202,6 +206,46 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM keyed WINDOW same AS (PARTITION BY text_sha256)"""
 
 
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+ones AS (SELECT lang, w, count(*) AS f FROM (SELECT lang, unnest(w) AS w FROM pieces) GROUP BY ALL),
+twos AS (
+  SELECT lang, w1, w2, count(*) AS f FROM (
+    SELECT lang, w[i] AS w1, w[i + 1] AS w2 FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM pieces)) GROUP BY ALL
+),
+threes AS (
+  SELECT lang, w1, w2, w3, count(*) AS f FROM (
+    SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3 FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM pieces))
+  GROUP BY ALL HAVING count(*) >= 10
+),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM ones GROUP BY lang),
+longer AS (
+  SELECT lang, w1, w2, max(f) AS most FROM (SELECT lang, w1, w2, f FROM threes UNION ALL SELECT lang, w2, w3, f FROM threes) GROUP BY ALL
+),
+cuts AS (
+  SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, t.f AS a, x.f AS l, y.f AS r, 1 AS k
+  FROM twos t JOIN ones x ON x.lang = t.lang AND x.w = t.w1 JOIN ones y ON y.lang = t.lang AND y.w = t.w2
+  LEFT JOIN longer g ON g.lang = t.lang AND g.w1 = t.w1 AND g.w2 = t.w2
+  WHERE t.f >= 10 AND (g.most IS NULL OR 100 * g.most < 50 * t.f)
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 1
+  FROM threes t JOIN ones x ON x.lang = t.lang AND x.w = t.w1 JOIN twos y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 2
+  FROM threes t JOIN twos x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN ones y ON y.lang = t.lang AND y.w = t.w3
+),
+scored AS (
+  SELECT *, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts
+),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest) JOIN totals USING (lang)
+WHERE rank <= 2000"""
+
 OP13_SQL = r"""
 WITH RECURSIVE crc_table AS (
   SELECT list(c ORDER BY i) AS t FROM (
@@ -267,7 +311,7 @@ def oracles() -> dict[str, str]:
 
     found = {
         "op2_licenses": _license_sql(), "op4_decontamination": OP4_SQL, "op5_mix": OP5_SQL, "op10_exact": OP10_SQL,
-        "op13_merkle": OP13_SQL,
+        "op12_phrases": OP12_SQL, "op13_merkle": OP13_SQL,
     }
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
