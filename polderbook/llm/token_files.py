@@ -23,10 +23,12 @@ those of the whole text while repeated chunks are encoded once per Python worker
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -39,16 +41,27 @@ from pyspark.sql import functions as F
 from polderbook.llm.common import Scratch, text_of
 
 END = 2
+END_BYTES = struct.pack("<I", END)
 #: Ids of a shard, unless one document has more.
 SHARD_IDS = 1 << 20
 BLOCK = 512
 PERCENTILE = 90
 #: Chunks that a Python worker remembers.
-REMEMBER = 200_000
+REMEMBER = 250_000
 HEADER = struct.Struct("<4sIIIQIH")
 MAGIC = b"PFR1"
 #: A text may be cut here: what follows is a piece of its own.
 CUT = re.compile(r"(?<=\S)(?= \S)")
+#: A space next to other white space; without one, a text may be cut at every space.
+TWO_SPACES = re.compile(r" (?:\s|(?<=\s ))")
+#: Stands in front of a text's first chunk; no chunk begins with a space.
+FIRST = " "
+#: Characters of texts that are encoded together.
+TOGETHER = 2_000_000
+#: Marks that are always a piece of their own behind a letter and in front of a space.
+MARKS = (".", ",", ";", ":", "!", "?")
+#: How the byte-level pre-tokenizer spells a space.
+SPACE = "\u0120"
 
 
 # ---- patched frame of reference -------------------------------------------------------
@@ -167,30 +180,70 @@ def shard_bytes(task: int, number: int, doc_ids: list[int | None], sizes: list[i
 # ---- tokenizer ------------------------------------------------------------------------
 
 class Encoder:
-    """Ids of texts by a tokenizer of the tokenizers library, with a memory of chunks."""
+    """Ids of texts, as little-endian uint32, by a tokenizer of the tokenizers library.
+
+    Chunks are remembered in two generations: when the younger is full it replaces the
+    older, and what is met again moves up, so frequent chunks stay.
+    """
 
     def __init__(self, description: str, remember: int = REMEMBER):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(description)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.model = self.tokenizer.model
+        parts = json.loads(description)
+        before = parts["pre_tokenizer"] or {}
+        self.byte_level = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not (
+            before["add_prefix_space"] or parts["normalizer"])
+        self.marks = {m: self._ids(m) for m in MARKS}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.remember = remember
 
-    def ids(self, text: str) -> list[int]:
-        chunks = CUT.split(text)
-        fresh = [c for c in set(chunks) if c not in self.known]
-        if len(self.known) + len(fresh) > self.remember:
-            self.known.clear()
-            fresh = list(set(chunks))
-        for start in range(0, len(fresh), 1000):
-            some = fresh[start:start + 1000]
-            for chunk, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[chunk] = tuple(found.ids)
-        out = list(chain.from_iterable(map(self.known.__getitem__, chunks)))
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        cut = [self._chunks(t) for t in texts]
         if len(self.known) > self.remember:
-            self.known.clear()
-        return out
+            self.known, self.older = {}, self.known
+        known, older, others = self.known, self.older, []
+        for chunk in set(chain.from_iterable(cut)).difference(known):
+            ids = older.get(chunk) or self._word(chunk)
+            if ids is None:
+                others.append(chunk)
+            else:
+                known[chunk] = ids
+        for start in range(0, len(others), 1000):
+            some = others[start:start + 1000]
+            whole = [c[1:] if c[:1] == FIRST else f" {c}" for c in some]
+            encoded = self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)
+            for chunk, found in zip(some, encoded, strict=True):
+                known[chunk] = array("I", found.ids).tobytes()
+        return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
+
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, chunk: str) -> bytes | None:
+        """Ids of a chunk of ASCII letters, perhaps with a mark behind: one piece for the model, or two; else None."""
+        if not self.byte_level:
+            return None
+        word, mark = (chunk[:-1], chunk[-1]) if chunk[-1:] in self.marks else (chunk, "")
+        if not (word.isascii() and word.isalpha()):
+            return None
+        ids = self.known.get(word) if mark else None
+        if ids is None:
+            ids = array("I", [t.id for t in self.model.tokenize(SPACE + word)]).tobytes()
+        return ids + self.marks[mark] if mark else ids
+
+    @staticmethod
+    def _chunks(text: str) -> list[str]:
+        """Chunks without the space in front of them; ``FIRST`` marks one that has none."""
+        if TWO_SPACES.search(text):
+            return [c[1:] if i else FIRST + c for i, c in enumerate(CUT.split(text))]
+        chunks = text.split(" ")
+        chunks[0] = FIRST + chunks[0]
+        return chunks
 
 
 _encoders: dict[int, Encoder] = {}
@@ -205,6 +258,21 @@ def encoder(description: str) -> Encoder:
     return _encoders[key]
 
 
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str]]]:
+    """(doc_ids, texts) of about ``TOGETHER`` characters at a time."""
+    for batch in batches:
+        doc_ids, texts, size = [], [], 0
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            doc_ids.append(doc_id)
+            texts.append(text.as_py())
+            size += len(texts[-1])
+            if size >= TOGETHER:
+                yield doc_ids, texts
+                doc_ids, texts, size = [], [], 0
+        if texts:
+            yield doc_ids, texts
+
+
 # ---- Spark ------------------------------------------------------------------------------
 
 def write(docs: DataFrame, folder: str, tokenizer_path: str, shard_ids: int = SHARD_IDS) -> None:
@@ -223,14 +291,15 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, shard_ids: int = SH
         doc_ids, parts, held = [], [], 0
 
         def close() -> pa.RecordBatch:
-            content = shard_bytes(task, number, doc_ids, [len(p) for p in parts], np.concatenate(parts))
+            ids = np.frombuffer(b"".join(parts), "<u4")
+            content = shard_bytes(task, number, doc_ids, [len(p) // 4 for p in parts], ids)
             return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for some_ids, texts in together(batches):
+            for doc_id, ids in zip(some_ids, encode(texts), strict=True):
                 doc_ids.append(doc_id)
-                parts.append(np.array([*encode(text.as_py()), END], np.uint32))
-                held += len(parts[-1])
+                parts.append(ids + END_BYTES)
+                held += len(parts[-1]) // 4
                 if held >= shard_ids:
                     yield close()
                     number, doc_ids, parts, held = number + 1, [], [], 0
@@ -252,7 +321,9 @@ def read(spark: SparkSession, folder: str, scratch: Scratch) -> DataFrame:
             for content in batch.column(0):
                 shard = Shard(content.as_py())
                 n = len(shard.doc_ids)
-                crcs = [zlib.crc32(shard.document(i).astype("<u4").tobytes()) for i in range(n)]
+                ids = memoryview(shard.ids(0, shard.n_ids).astype("<u4", copy=False)).cast("B")
+                ends = (4 * shard.starts).tolist()
+                crcs = [zlib.crc32(ids[a:b]) for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([shard.task] * n, pa.int64()), pa.array([shard.number] * n, pa.int64()),
                      pa.array(shard.doc_ids, pa.int64()), pa.array(shard.starts[:-1], pa.int64()),
