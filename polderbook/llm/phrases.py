@@ -10,8 +10,7 @@ as often. Scanning ends when nothing is active.
 One scan is one shuffle: numpy counts the shard's active phrases per batch, and these
 partial counts are summed together with the counts so far. Two bit filters of fixed size
 tell the scan which parts have reached the threshold, and which did so within the last
-cycle; a join with the table of reached parts afterwards removes the filters' false alarms,
-so a full filter costs time but no count.
+cycle. Their false alarms cost time but no count, see ``counted``.
 
 Words are named by 64-bit hashes of language and word. The names are checked against the
 spelt words of all phrases returned; should two words share one, all is counted again with
@@ -59,8 +58,8 @@ IN_WORD[list(b" \t")] = False
 FACTOR = 0x9E3779B97F4A7C15
 INVERSE = pow(FACTOR, -1, 1 << 64)
 
-STATE = "k int, w0 bigint, w1 bigint, w2 bigint, lang string, n bigint"
-KEY = ["k", "w0", "w1", "w2"]
+STATE = "w0 bigint, w1 bigint, w2 bigint, n bigint"
+KEY = ["w0", "w1", "w2"]
 
 
 # ---- words of a batch -----------------------------------------------------------------
@@ -81,7 +80,7 @@ class Words:
                 steps[0] = 1
                 setattr(self, name, np.multiply.accumulate(steps))
 
-    def _lang(self, lang: str) -> int:
+    def lang(self, lang: str) -> int:
         if lang not in self.langs:
             self.langs[lang] = int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
         return self.langs[lang]
@@ -96,7 +95,7 @@ class Words:
         if not len(texts) or offsets[-1] == offsets[0]:
             return
         raw = np.frombuffer(texts.buffers()[2], np.uint8)
-        named = np.array([self._lang(x) for x in langs], np.uint64)
+        named = np.array([self.lang(x) for x in langs], np.uint64)
         at, end = int(offsets[0]), int(offsets[-1])
         while at < end:
             stop = min(end, at + STEP_BYTES)
@@ -175,26 +174,26 @@ class Counts:
             self.parts.append(columns)
             self.held += len(columns[0])
 
-    def take(self, langs: list[str]) -> pa.RecordBatch:
-        """Rows of ``STATE``; for single words the second column added is the place of their language."""
+    def take(self) -> pa.RecordBatch:
+        """Rows of ``STATE``; for single words the second column added names their language."""
         columns = [np.concatenate(c) for c in zip(*self.parts, strict=True)]
         words = columns[:self.length]
         key = words[0].copy()
         for w in words[1:]:
             key = _rotated(key) ^ w
         order = np.argsort(key, kind="stable")
-        ranked = [c[order] for c in columns]
+        words = [w[order] for w in words]
         fresh = np.ones(len(order), bool)
-        fresh[1:] = np.logical_or.reduce([w[1:] != w[:-1] for w in ranked[:self.length]])
+        fresh[1:] = np.logical_or.reduce([w[1:] != w[:-1] for w in words])
         at = np.flatnonzero(fresh)
         n = np.diff(np.append(at, len(order)))
-        zeros = np.zeros(len(at), np.int64)
-        spelt = [ranked[i][at].view(np.int64) if i < self.length else zeros for i in range(3)]
-        tongue = pa.array(langs, pa.string()).take(pa.array(ranked[1][at])) if self.length == 1 else pa.nulls(len(at), pa.string())
+        out = [np.zeros(len(at), np.int64) for _ in range(3)]
+        for i, w in enumerate(words):
+            out[i] = w[at].view(np.int64)
+        if self.length == 1:
+            out[2] = columns[1][order][at].view(np.int64)
         self.parts, self.held = [], 0
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(at), self.length, np.int32)), *map(pa.array, spelt), tongue, pa.array(n)],
-            ["k", "w0", "w1", "w2", "lang", "n"])
+        return pa.RecordBatch.from_arrays(list(map(pa.array, (*out, n))), ["w0", "w1", "w2", "n"])
 
 
 def _scan(shard: DataFrame, seed: int, with_words: bool, filters) -> DataFrame:
@@ -203,15 +202,9 @@ def _scan(shard: DataFrame, seed: int, with_words: bool, filters) -> DataFrame:
         words = Words(seed)
         counts = [Counts(k) for k in (1, 2, 3)]
         ever, lately = (np.frombuffer(f, np.uint8) for f in filters.value) if filters else (None, None)
-        langs: list[str] = []
-        where: dict[str, int] = {}
         for batch in batches:
             tongues = batch.column(0).to_pylist()
-            for lang in tongues:
-                if lang not in where:
-                    where[lang] = len(langs)
-                    langs.append(lang)
-            codes = np.array([where[x] for x in tongues], np.int64)
+            codes = np.array([words.lang(x) for x in tongues], np.uint64)
             for names, pieces, _, _, _, document in words.steps(tongues, batch.column(1)):
                 if with_words:
                     counts[0].add(names, codes[document])
@@ -229,10 +222,10 @@ def _scan(shard: DataFrame, seed: int, with_words: bool, filters) -> DataFrame:
                     counts[2].add(names[pick], names[pick + 1], names[pick + 2])
                 for c in counts:
                     if c.held >= HELD:
-                        yield c.take(langs)
+                        yield c.take()
         for c in counts:
             if c.held:
-                yield c.take(langs)
+                yield c.take()
 
     return shard.select("lang", "text").mapInArrow(counted, STATE)
 
@@ -265,14 +258,14 @@ def _spelt(shard: DataFrame, seed: int, wanted) -> DataFrame:
     return shard.select("lang", "text").mapInArrow(found, "w0 bigint, lang string, word string")
 
 
-def _bitmap(rows: DataFrame, slot: Column) -> bytes:
-    """The filter of ``rows``; its size does not depend on them."""
+def _bitmap(rows: DataFrame, slot: Column) -> int:
+    """The filter of ``rows`` as a number of ``FILTER_BITS`` bits; its size does not depend on them."""
     bits = bytearray(FILTER_BITS // 8)
     blocks = rows.select(slot.alias("slot")).groupBy(F.shiftright("slot", 15).alias("block")).agg(
         F.expr(f"bitmap_construct_agg(slot & {BLOCK_BITS - 1})").alias("bits"))
     for block, part in blocks.collect():
         bits[block * BLOCK_BITS // 8:(block + 1) * BLOCK_BITS // 8] = part
-    return bytes(bits)
+    return int.from_bytes(bits, "little")
 
 
 # ---- scans ------------------------------------------------------------------------------
@@ -287,51 +280,44 @@ def _dealt(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def counted(shards: DataFrame, scratch: Scratch, seed: int = 0, least: int = LEAST) -> DataFrame:
-    """(k, w0, w1, w2, lang, n): every phrase of up to three words with ``least`` or more occurrences, and every word."""
+    """(k, w0, w1, w2, n): every phrase of up to three words with ``least`` or more occurrences, and every
+    word; for single words ``w2`` names the language.
+
+    A filter's false alarm makes a phrase start earlier or once more. It cannot make a rare phrase
+    frequent, and the first full cycle has the exact count, so of several counts the largest is taken.
+    """
     spark = shards.sparkSession
-    state, reached, filters, done = None, [], None, []
+    state, filters, done, ever, recent = None, None, [], 0, []
     turn = 0
     while True:
         found = _scan(shards.where(F.col("shard") == turn % SHARDS), seed, turn < SHARDS, filters).withColumn(
-            "hit", F.lit(None).cast("int"))
+            "since", F.lit(turn))
         if state is not None:
-            found = found.unionByName(state.where(F.col("since") > turn - SHARDS).drop("since"))
-        summed = found.groupBy(*KEY).agg(
-            F.max("lang").alias("lang"), F.sum("n").alias("n"), F.min("hit").alias("before"))
-        if reached:
-            known = scratch.small(reduce(DataFrame.unionByName, reached), f"known-{turn}")
-            third = F.when(F.col("k") == 3, F.col("w1")).otherwise(0), F.when(F.col("k") == 3, F.col("w2")).otherwise(0)
-            left, right = (known.select(*[F.col(c).alias(f"{side}_{c}") for c in ("a", "b", "at")]) for side in ("left", "right"))
-            summed = summed.join(left, (F.col("w0") == F.col("left_a")) & (third[0] == F.col("left_b")), "left").join(
-                right, (F.col("w1") == F.col("right_a")) & (third[1] == F.col("right_b")), "left")
-            later = F.when(F.col("left_at").isNotNull() & F.col("right_at").isNotNull(), F.greatest("left_at", "right_at"))
-        else:
-            later = F.lit(None).cast("int")
-        since = F.when(F.col("k") == 1, F.lit(0)).otherwise(later)
-        hit = F.coalesce("before", F.when(F.col("n") >= least, F.lit(turn + 1)))
+            found = found.unionByName(state.where(F.col("since") > turn - SHARDS))
         now = scratch.write(
-            summed.select(*KEY, "lang", "n", hit.alias("hit"), since.alias("since"))
-            .where((F.col("since") > turn - SHARDS) & (F.col("since") <= turn)), f"state-{turn}")
-        ended = now.where((F.col("since") == turn - SHARDS + 1) & ((F.col("n") >= least) | (F.col("k") == 1)))
-        done.append(scratch.write(ended.select(*KEY, "lang", "n"), f"done-{turn}"))
-        reached.append(scratch.write(
-            now.where((F.col("hit") == turn + 1) & (F.col("k") < 3)).select(
-                F.col("w0").alias("a"), F.col("w1").alias("b"), F.col("hit").alias("at")), f"reached-{turn}"))
+            found.groupBy(*KEY).agg(F.sum("n").alias("n"), F.min("since").alias("since")), f"state-{turn}")
+        parts = now.where((F.col("n") >= least) & ((F.col("w1") == 0) | (F.col("w2") == 0)))
+        bits = _bitmap(parts, _slot(F.col("w0"), F.col("w1")))
+        recent = [*recent, bits & ~ever][-SHARDS:]
+        ever |= bits
+        lately = reduce(int.__or__, recent)
+        # without late parts nothing will be counted any more, and all counts are complete
+        last = turn >= SHARDS - 1 and not lately
+        kind = F.when(F.col("w1") == 0, 1).when(F.col("w2") == 0, 2).otherwise(3)
+        ended = F.col("since") > turn - SHARDS if last else F.col("since") == turn - SHARDS + 1
+        done.append(scratch.write(
+            now.where(ended & ((F.col("n") >= least) | (F.col("w1") == 0))).select(kind.alias("k"), *KEY, "n"), f"done-{turn}"))
         if state is not None:
             scratch.drop(f"state-{turn - 1}")
         state = now
         turn += 1
-        recent = [r for i, r in enumerate(reached) if i + 1 > turn - SHARDS]
-        if turn >= SHARDS and not reduce(DataFrame.unionByName, recent).limit(1).count():
+        if last:
             break
-        slot = _slot(F.col("a"), F.col("b"))
-        ever = _bitmap(reduce(DataFrame.unionByName, reached), slot)
-        lately = ever if turn <= SHARDS else _bitmap(reduce(DataFrame.unionByName, recent), slot)
         if filters is not None:
             filters.unpersist()
-        filters = spark.sparkContext.broadcast((ever, lately))
-    scratch.drop(f"state-{turn - 1}", *[f"reached-{t}" for t in range(turn)], *[f"known-{t}" for t in range(1, turn)])
-    return reduce(DataFrame.unionByName, done)
+        filters = spark.sparkContext.broadcast(tuple(x.to_bytes(FILTER_BITS // 8, "little") for x in (ever, lately)))
+    scratch.drop(f"state-{turn - 1}")
+    return reduce(DataFrame.unionByName, done).groupBy("k", *KEY).agg(F.max("n").alias("n"))
 
 
 # ---- scores -----------------------------------------------------------------------------
@@ -365,9 +351,11 @@ def _ranked(
 ) -> tuple[DataFrame, bool]:
     """The result, and whether two words shared a name in it."""
     counts = counted(shards, scratch, seed, least)
-    totals = scratch.small(counts.where("k = 1").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    words = scratch.small(counts.where(F.col("k") == 1).where(F.col("n") >= least).select("w0", "lang", "n"), "words")
-    pairs = scratch.small(counts.where(F.col("k") == 2).select("w0", "w1", "n"), "pairs")
+    counts = scratch.write(counts, "counts")
+    totals = scratch.small(counts.where("k = 1").groupBy(F.col("w2").alias("tongue")).agg(F.sum("n").alias("n")), "totals")
+    words = scratch.write(
+        counts.where((F.col("k") == 1) & (F.col("n") >= least)).select("w0", F.col("w2").alias("tongue"), "n"), "words")
+    pairs = scratch.write(counts.where(F.col("k") == 2).select("w0", "w1", "n"), "pairs")
     triples = scratch.write(counts.where(F.col("k") == 3).select("w0", "w1", "w2", F.col("n").alias("a")), "triples")
 
     def word(at: str, n: str) -> DataFrame:
@@ -381,36 +369,38 @@ def _ranked(
     two = (
         pairs.withColumnRenamed("n", "a").join(longer, ["w0", "w1"], "left")
         .where(F.col("most").isNull() | (_wide("most") * 100 < _wide("a") * absorbed))
-        .join(words.select("w0", "lang", F.col("n").alias("l")), "w0").join(word("w1", "r"), "w1")
-        .select("lang", "w0", "w1", F.lit(0).cast("bigint").alias("w2"), "a",
+        .join(words.select("w0", "tongue", F.col("n").alias("l")), "w0").join(word("w1", "r"), "w1")
+        .select("tongue", "w0", "w1", F.lit(0).cast("bigint").alias("w2"), "a",
                 F.struct(score("a", "l", "r").alias("score"), F.lit(1).alias("cut"), "l", "r").alias("best"))
     )
     three = (
-        triples.join(words.select("w0", "lang", F.col("n").alias("l1")), "w0").join(pair("w1", "w2", "r1"), ["w1", "w2"])
+        triples.join(words.select("w0", "tongue", F.col("n").alias("l1")), "w0").join(pair("w1", "w2", "r1"), ["w1", "w2"])
         .join(pair("w0", "w1", "l2"), ["w0", "w1"]).join(word("w2", "r2"), "w2")
-        .select("lang", "w0", "w1", "w2", "a", F.least(
+        .select("tongue", "w0", "w1", "w2", "a", F.least(
             F.struct(score("a", "l1", "r1").alias("score"), F.lit(1).alias("cut"), F.col("l1").alias("l"), F.col("r1").alias("r")),
             F.struct(score("a", "l2", "r2").alias("score"), F.lit(2).alias("cut"), F.col("l2").alias("l"), F.col("r2").alias("r")),
         ).alias("best"))
     )
-    scored = two.unionByName(three).select("lang", "w0", "w1", "w2", "a", "best.score", "best.l", "best.r")
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
+    scored = two.unionByName(three).select("tongue", "w0", "w1", "w2", "a", "best.score", "best.l", "best.r")
+    best = Window.partitionBy("tongue").orderBy(F.desc("score"), F.desc("a"))
     # phrases tied at the end all stay until they are spelt
     ahead = scratch.write(scored.withColumn("place", F.rank().over(best)).where(F.col("place") <= top).drop("place"), "ahead")
     names = scratch.small(
         ahead.select(F.explode(F.array("w0", "w1", "w2")).alias("w0")).where("w0 <> 0").distinct(), "names")
-    wanted = shards.sparkSession.sparkContext.broadcast(_bitmap(names, _slot(F.col("w0"), F.lit(0).cast("bigint"))))
+    wanted = shards.sparkSession.sparkContext.broadcast(
+        _bitmap(names, _slot(F.col("w0"), F.lit(0).cast("bigint"))).to_bytes(FILTER_BITS // 8, "little"))
     spelling = F.struct("lang", "word")
     spelt = scratch.write(
         _spelt(shards, seed, wanted).join(names, "w0").groupBy("w0")
         .agg(F.min(spelling).alias("one"), F.max(spelling).alias("other")), "spelt")
     shared = bool(spelt.where("one <> other").limit(1).count())
-    known = scratch.small(spelt.select("w0", F.col("one.word").alias("word")), "known")
     named = ahead
     for i in range(3):
-        named = named.join(known.select(F.col("w0").alias(f"w{i}"), F.col("word").alias(f"word{i}")), f"w{i}", "left" if i == 2 else "inner")
+        spelling = spelt.select(
+            F.col("w0").alias(f"w{i}"), F.col("one.word").alias(f"word{i}"), *([] if i else [F.col("one.lang").alias("lang")]))
+        named = named.join(spelling, f"w{i}", "left" if i == 2 else "inner")
     phrased = named.withColumn("phrase", F.concat_ws(" ", "word0", "word1", "word2"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    out = phrased.withColumn("rank", rank.cast("bigint")).where(F.col("rank") <= top).join(totals, "lang").select(
+    rank = F.row_number().over(Window.partitionBy("tongue").orderBy(F.desc("score"), F.desc("a"), "phrase"))
+    out = phrased.withColumn("rank", rank.cast("bigint")).where(F.col("rank") <= top).join(totals, "tongue").select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score")
     return out, shared
