@@ -65,8 +65,9 @@ def containment(docs: DataFrame, benchmark: DataFrame, contained: float = CONTAI
         scratch.small(hits.select("text_key").distinct(), "keys"), "text_key", "left_semi"
     ).groupBy("text_key").agg(F.max("text").alias("text")).select("text_key", words_line(F.col("text")).alias("line"))
     spelled = _spelled(items, "item", "item_id").distinct()
-    sizes = spelled.groupBy("item", "item_id").agg(F.count("*").alias("n_shingles"))
-    known = scratch.small(spelled.join(sizes, ["item", "item_id"]), "shingles")
+    # an item's name covers its item_id, which may be null
+    sizes = spelled.groupBy("item").agg(F.count("*").alias("n_shingles"))
+    known = scratch.small(spelled.join(sizes, "item"), "shingles")
     shared = (
         _spelled(texts, "text_key").join(known, "shingle").join(hits, ["text_key", "item"], "left_semi")
         .groupBy("text_key", "item", "item_id", "n_shingles").agg(F.count_distinct("shingle").alias("n_shared"))
@@ -91,4 +92,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that contain no item, with their columns."""
     found = containment(docs, benchmark).select(F.col("text_key").alias("gone")).distinct()
     small = Scratch(docs.sparkSession, "decontaminate").small(found, "gone")
-    return docs.join(small, text_key() == F.col("gone"), "left_anti")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_key().alias("key"))
+    return row.join(small, F.col("key") == F.col("gone"), "left_anti").select("row.*")

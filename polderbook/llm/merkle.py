@@ -72,9 +72,9 @@ def levels(nodes: list[str], up: int) -> list[list[str]]:
     return out
 
 
-def _levels_from(total: int, turn: int) -> int:
+def _levels_from(total: int, turn: int, step: int) -> int:
     """Levels of a tree of ``total`` leaves that lie between written levels ``turn`` and ``turn + 1``."""
-    return max(0, min(STEP, (total - 1).bit_length() - turn * STEP))
+    return max(0, min(step, (total - 1).bit_length() - turn * step))
 
 
 def _subtrees(nodes: DataFrame, *carried: str) -> DataFrame:
@@ -90,10 +90,12 @@ def _digests(subtrees: DataFrame) -> DataFrame:
 
 def _tops(subtrees: DataFrame, turn: int) -> DataFrame:
     """The top node of every subtree: tree, total, place, digest."""
+    step = STEP
+
     def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             totals = batch.column(1).to_pylist()
-            found = [levels(digests.as_py(), _levels_from(total, turn))[-1][0]
+            found = [levels(digests.as_py(), _levels_from(total, turn, step))[-1][0]
                      for total, digests in zip(totals, batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.string())],
                                              ["tree", "total", "place", "digest"])
@@ -103,7 +105,7 @@ def _tops(subtrees: DataFrame, turn: int) -> DataFrame:
 
 def _paths(subtrees: DataFrame, turn: int) -> DataFrame:
     """``subtrees`` with ``paths``: for each node its siblings up to the subtree's top."""
-    names = subtrees.columns
+    names, step = subtrees.columns, STEP
 
     def regrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,7 +114,7 @@ def _paths(subtrees: DataFrame, turn: int) -> DataFrame:
                 out = []
                 for total, nodes in zip(some.column("total").to_pylist(), some.column("nodes"), strict=True):
                     digests = nodes.values.field("digest").to_pylist()
-                    grown = levels(digests, _levels_from(total, turn))[:-1]
+                    grown = levels(digests, _levels_from(total, turn, step))[:-1]
                     out.append([[
                         {"digest": row[place ^ 1] if place ^ 1 < len(row) else None, "left": place & 1 == 1}
                         for row, place in ((row, i >> up) for up, row in enumerate(grown))

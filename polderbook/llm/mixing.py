@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from polderbook.llm.common import Scratch, text_of
+from polderbook.llm.common import BROADCAST_BYTES, Scratch, numbered, text_of
 
 #: Fixed values of the mix: weights in turn, the share of all words, the most copies.
 WEIGHTS = (5, 2, 1)
@@ -63,55 +63,56 @@ def _offset(source: Column) -> Column:
     return F.conv(head, 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
+def _tie(docs: DataFrame) -> Column:
+    """A hash of a row; columns that hold maps cannot be hashed and are left out."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+
+
 def mix(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
-    """``docs`` with size, source_size, target and copies; new columns replace any of the same name.
+    """(doc_id, source, tie, size, source_size, target, copies) of every row; ``tie`` is a hash of the row.
 
-    Rows are placed by one range partitioning on (source, size, doc_id), so a hot
-    source spreads over many tasks; ranks are counted within a task and shifted
-    by the row counts of the tasks before it.
+    Only these narrow keys are ordered, by source, size, doc_id and tie, in one range
+    partitioning, so a hot source spreads over many tasks and no text is shuffled. Rows alike in
+    all of them cannot be split between tasks.
     """
-    scratch = Scratch(docs.sparkSession, "mix")
-    columns = [c for c in docs.columns if c not in {"size", "source_size", "target", "copies"}]
-    row = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), word_count().alias("size")
-    ).withColumn("tie", F.xxhash64("row"))
-    source, doc_id = F.col("row.source"), F.col("row.doc_id")
-    placed = scratch.write(
-        row.repartitionByRange(source.isNull(), source, "size", doc_id, "tie").withColumn("part", F.spark_partition_id()),
-        "placed",
-    )
-    parts = scratch.write(
-        placed.groupBy(source.alias("source"), "part").agg(F.count("*").alias("n"), F.sum("size").alias("words")),
-        "parts",
-    )
-    ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = parts.select("source", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("shift"))
-    sizes = parts.groupBy("source").agg(F.sum("words").alias("source_size"))
-    targets = _targets(sizes, weights, share, most).withColumnRenamed("source", "of")
-    plan = scratch.small(
-        shifts.join(targets, F.col("source").eqNullSafe(F.col("of"))).select(
-            F.col("source").alias("of"), F.col("part").alias("at"), "shift", "source_size", "target"
-        ),
-        "plan",
-    )
-    scratch.drop("parts")
-    within = Window.partitionBy("part", source).orderBy("size", doc_id, "tie")
-    ranked = placed.withColumn("rank", F.row_number().over(within).cast("bigint"))
-    joined = ranked.join(plan, (F.col("part") == F.col("at")) & source.eqNullSafe(F.col("of")))
+    scratch = scratch or Scratch(docs.sparkSession, "mix")
+    keys = docs.select("doc_id", "source", word_count().alias("size"), _tie(docs).alias("tie"))
+    order = [F.col("source").isNull(), F.col("source"), F.col("size"), F.col("doc_id"), F.col("tie")]
+    placed = numbered(keys, "source", order, scratch, "placed", source_size="size")
+    sizes = placed.groupBy("source").agg(F.max("source_size").alias("source_size"))
+    targets = scratch.small(
+        _targets(sizes, weights, share, most).select(F.col("source").alias("of"), "target"), "targets")
+    joined = placed.join(targets, F.col("source").eqNullSafe(F.col("of")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    place = F.col("rank") + F.col("shift")
-    copies = F.floor(_offset(source) + rate * place) - F.floor(_offset(source) + rate * (place - 1))
+    start, place = _offset(F.col("source")), F.col("place")
+    copies = F.floor(start + rate * (place + 1)) - F.floor(start + rate * place)
     return joined.select(
-        "row.*", "size", "source_size", "target", F.least(copies, F.lit(most)).cast("bigint").alias("copies")
-    )
+        "doc_id", "source", "tie", "size", "source_size", "target",
+        F.least(copies, F.lit(most)).cast("bigint").alias("copies"))
 
 
 def mixed_rows(docs: DataFrame) -> DataFrame:
-    """Every document as often as the mix takes it; ``copy_no`` counts from 1."""
-    columns = [c for c in docs.columns if c not in {"copy_no", "size", "source_size", "target", "copies"}]
-    return mix(docs).where("copies > 0").select(
-        *[F.col(f"`{c}`") for c in columns],
-        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy_no"),
-    )
+    """Every row as often as the mix takes it, with its columns; ``copy_no`` counts from 1 and replaces a column of that name.
+
+    Rows find their copies by doc_id and tie. Rows alike in both are taken as one row that has
+    the copies of all of them. While the keys are few they are broadcast and no text moves;
+    beyond that texts are shuffled once, without a sort.
+    """
+    scratch = Scratch(docs.sparkSession, "mixed")
+    alike = scratch.write(
+        mix(docs, scratch=scratch).groupBy(F.col("doc_id").alias("id"), "tie")
+        .agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0"), "alike")
+    scratch.drop("placed", "placed-parts", "targets")
+    columns = [c for c in docs.columns if c != "copy_no"]
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("doc_id").alias("of"), _tie(docs).alias("hash"))
+    keys = scratch.small(alike, "keys")
+    joined = row.join(keys.hint("shuffle_hash") if scratch.bytes("keys") > BROADCAST_BYTES else keys,
+                      F.col("of").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("tie")))
+    taken = joined.where("rows = 1").select("row", "copies")
+    if alike.where("rows > 1").limit(1).count():
+        taken = taken.unionByName(joined.where("rows > 1").groupBy("id", "tie").agg(
+            F.first("row").alias("row"), F.first("copies").alias("copies")).select("row", "copies"))
+    return taken.select("row.*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy_no"))

@@ -172,13 +172,14 @@ def near_dedup(docs: DataFrame) -> DataFrame:
         found.where("class_size > 1").groupBy(F.col("doc_id").alias("_doc_id"), F.col("raw").alias("_raw"))
         .agg(F.max("kept").alias("_kept"), F.count("*").alias("_n")), "keys"
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64(text_of()) == F.col("_raw"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    stayed = docs.join(scratch.small(keys.where("not _kept").select("_doc_id", "_raw"), "gone"), same, "left_anti")
+    named = [F.col(f"`{c}`") for c in docs.columns]
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    rows = docs.select(F.struct(*named).alias("row"), F.col("doc_id").alias("own_id"),
+                       F.xxhash64(text_of()).alias("own_raw"), F.xxhash64(*hashed).alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("_doc_id")) & (F.col("own_raw") == F.col("_raw"))
+    stayed = rows.join(scratch.small(keys.where("not _kept").select("_doc_id", "_raw"), "gone"), same, "left_anti")
     tied = scratch.small(keys.where("_kept and _n > 1").select("_doc_id", "_raw"), "tied")
     if tied.limit(1).count():
-        hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-        one = stayed.join(tied, same).groupBy("_doc_id", "_raw").agg(
-            F.min_by(F.struct(*columns), F.xxhash64(*hashed)).alias("_one"))
-        stayed = stayed.join(tied, same, "left_anti").select(*columns).unionByName(one.select("_one.*"))
-    return stayed.select(*columns)
+        one = stayed.join(tied, same).groupBy("_doc_id", "_raw").agg(F.min_by("row", "own_hash").alias("row"))
+        stayed = stayed.join(tied, same, "left_anti").select("row").unionByName(one.select("row"))
+    return stayed.select("row.*")

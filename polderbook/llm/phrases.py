@@ -147,20 +147,19 @@ def _rotated(names: np.ndarray) -> np.ndarray:
     return (names << np.uint64(17)) | (names >> np.uint64(47))
 
 
-def _slots(first: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:
-    return ((first if second is None else first ^ _rotated(second)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+def _hit(bits: np.ndarray, first: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:
+    """Whether the filter holds the names, single or in pairs."""
+    mask = np.uint64(8 * len(bits) - 1)
+    slots = ((first if second is None else first ^ _rotated(second)) & mask).astype(np.int64)
+    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & np.uint8(1) == 1
 
 
 def _slot(first: Column, second: Column) -> Column:
-    """``_slots`` in Spark; a missing second name is 0."""
+    """The place of a name, or a pair, in a filter; a missing second name is 0."""
     turned = F.shiftleft(second, 17).bitwiseOR(F.shiftrightunsigned(second, 47))
     return first.bitwiseXOR(turned).bitwiseAND(F.lit(FILTER_BITS - 1))
 
 
-def _hit(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & np.uint8(1) == 1
-
-
 class Counts:
     """Counts of phrases of one length; ``take`` empties it."""
 
@@ -209,15 +208,14 @@ def _scan(shard: DataFrame, seed: int, with_words: bool, filters) -> DataFrame:
                 if with_words:
                     counts[0].add(names, codes[document])
                 if ever is not None and len(names) > 1:
-                    single = _slots(names)
-                    reached, late = _hit(ever, single), _hit(lately, single)
+                    reached, late = _hit(ever, names), _hit(lately, names)
                     joined = pieces[1:] == pieces[:-1]
                     pick = joined & reached[1:] & reached[:-1] & (late[1:] | late[:-1])
                     counts[1].add(names[:-1][pick], names[1:][pick])
                     pairs = np.flatnonzero(joined & reached[1:] & reached[:-1])
-                    double = _slots(names[pairs], names[pairs + 1])
+                    double = names[pairs], names[pairs + 1]
                     known, fresh = np.zeros(len(names), bool), np.zeros(len(names), bool)
-                    known[pairs], fresh[pairs] = _hit(ever, double), _hit(lately, double)
+                    known[pairs], fresh[pairs] = _hit(ever, *double), _hit(lately, *double)
                     pick = np.flatnonzero(known[:-2] & known[1:-1] & (fresh[:-2] | fresh[1:-1]))
                     counts[2].add(names[pick], names[pick + 1], names[pick + 2])
                 for c in counts:
@@ -240,7 +238,7 @@ def _spelt(shard: DataFrame, seed: int, wanted) -> DataFrame:
             tongues = batch.column(0).to_pylist()
             for names, _, text, starts, stops, document in words.steps(tongues, batch.column(1)):
                 # every spelling of a name counts, so a word is left out only where name, length and ends agree
-                some = np.flatnonzero(_hit(bits, _slots(names)))
+                some = np.flatnonzero(_hit(bits, names))
                 shape = mixed(names[some] ^ (stops - starts)[some].astype(np.uint64), 7) ^ (
                     text[starts[some]].astype(np.uint64) << np.uint64(8)) ^ text[stops[some] - 1].astype(np.uint64)
                 _, one = np.unique(shape, return_index=True)

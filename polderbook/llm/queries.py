@@ -161,7 +161,7 @@ shared AS (
   SELECT doc_id, item_id, line, count(*) AS n_shared FROM doc_runs JOIN item_runs USING (run) GROUP BY ALL
 )
 SELECT doc_id, item_id, max(n_shared) AS n_shared, n_shingles
-FROM shared JOIN sizes USING (item_id, line)
+FROM shared JOIN (SELECT item_id AS of_id, line AS of_line, n_shingles FROM sizes) ON of_line = line AND of_id IS NOT DISTINCT FROM item_id
 WHERE n_shared >= n_shingles * CAST(0.8 AS DOUBLE)
 GROUP BY doc_id, item_id, n_shingles"""
 

@@ -179,7 +179,8 @@ def train(texts: list[str], labels: list[int], prior: float | None = None, seed:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
+    """Whether a document is in the held-out fold; false for a null ``doc_id``."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
