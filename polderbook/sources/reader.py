@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 
 from polderbook.model import BY_NAME, LABEL_COLUMN
 from polderbook.operators.validation import TapePlan, first_issues
-from polderbook.sources import files
+from polderbook.sources import csv_records, files
+from polderbook.sources.csv_records import BLOCK as _BLOCK, FILE as _FILE, ROW as _ROW
 
 DEFAULT_MAX_ISSUES = 10
 
-_FILE, _BLOCK, _ROW = "__file", "__block", "__row"
-
-
 @dataclass(frozen=True)
 class LoadIssue:
     row_index: int | None
@@ -46,9 +44,13 @@ def _suffix(path: str) -> str:
     return "." + name.rsplit(".", 1)[1].lower() if "." in name else ""
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, names from the header; quotes are doubled inside quoted values."""
-    return spark.read.option("header", True).option("escape", '"').csv(path)
+def read_csv(spark: SparkSession, path: str, positions: bool = False) -> DataFrame:
+    """All columns as text, names from the header; quotes are doubled inside quoted values.
+
+    ``positions`` adds the file, block and row that ``csv_issues`` reports places from.
+    """
+    rows = csv_records.read(spark, path)
+    return rows if positions else rows.drop(_FILE, _BLOCK, _ROW)
 
 
 def with_tape_types(raw: DataFrame) -> DataFrame:
@@ -65,36 +67,25 @@ def _parquet_rows(tape: DataFrame) -> DataFrame:
                        F.col("_metadata.row_index").alias(_ROW))
 
 
-def _csv_rows(raw: DataFrame) -> DataFrame:
-    # Within one file block rows get increasing ids in file order.
-    return raw.select("*", F.col("_metadata.file_path").alias(_FILE),
-                      F.col("_metadata.file_block_start").alias(_BLOCK),
-                      F.monotonically_increasing_id().alias(_ROW))
-
-
-def _csv_positions(rows: DataFrame) -> DataFrame:
-    """First id of every file block and the number of rows in the blocks before it."""
-    blocks = rows.groupBy(_FILE, _BLOCK).agg(
-        F.min(_ROW).alias("first_id"), F.count(F.lit(1)).alias("rows")
-    )
-    earlier = Window.partitionBy(_FILE).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("rows").over(earlier), F.lit(0))
-    return blocks.select(_FILE, _BLOCK, "first_id", before.alias("before"))
-
-
 def parquet_issues(tape: DataFrame, max_issues: int = DEFAULT_MAX_ISSUES) -> DataFrame:
     found = first_issues(_parquet_rows(tape), [_FILE, _ROW], max_issues)
     return found.select(F.col(_ROW).alias("row_index"), "loan_id", "field", "code", "message")
 
 
-def csv_issues(raw: DataFrame, max_issues: int = DEFAULT_MAX_ISSUES) -> DataFrame:
-    rows = _csv_rows(raw)
-    found = first_issues(rows, [_FILE, _BLOCK, _ROW], max_issues)
-    # The few issues are the small side; their position needs one count per block.
-    placed = _csv_positions(rows).join(F.broadcast(found), [_FILE, _BLOCK])
-    index = F.col("before") + F.col(_ROW) - F.col("first_id")
-    return placed.select(
-        _FILE, index.alias("row_index"), "loan_id", "field", "code", "message"
+def csv_issues(rows: DataFrame, max_issues: int = DEFAULT_MAX_ISSUES) -> DataFrame:
+    """The first violations of ``rows``, read with ``positions``, in file order."""
+    order = [_FILE, _BLOCK, _ROW]
+    found = first_issues(rows, order, max_issues)
+    # A row's number is the rows in earlier blocks of its file plus its rank in its own
+    # block; only the blocks of the few issues are ranked.
+    blocks = rows.groupBy(_FILE, _BLOCK).agg(F.count(F.lit(1)).alias("rows"))
+    earlier = Window.partitionBy(_FILE).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.select(_FILE, _BLOCK, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
+    within = Window.partitionBy(_FILE, _BLOCK).orderBy(_ROW)
+    ranked = rows.select(*order).join(found.select(_FILE, _BLOCK).distinct(), [_FILE, _BLOCK], "left_semi").withColumn(
+        "rank", F.row_number().over(within) - 1)
+    return found.join(ranked, order).join(before, [_FILE, _BLOCK]).select(
+        _FILE, (F.col("before") + F.col("rank")).alias("row_index"), "loan_id", "field", "code", "message"
     ).orderBy(_FILE, "row_index").drop(_FILE)
 
 
@@ -109,17 +100,16 @@ def load_tape(
     """
     path = str(path)
     if not files.exists(spark, path):
-        raise FileNotFoundError(f"Tape not found: {path}")
+        raise FileNotFoundError(f"{path} not found")
     suffix = _suffix(path)
     if suffix == ".parquet":
         tape = spark.read.parquet(path)
         issues = parquet_issues(tape, max_issues) if strict else None
     elif suffix == ".csv":
-        raw = read_csv(spark, path)
-        tape = with_tape_types(raw)
-        issues = csv_issues(raw, max_issues) if strict else None
+        tape = with_tape_types(read_csv(spark, path))
+        issues = csv_issues(read_csv(spark, path, positions=True), max_issues) if strict else None
     else:
-        raise ValueError(f"Unsupported tape extension {suffix!r} on {path}. Use .parquet or .csv.")
+        raise ValueError(f"Unsupported format {suffix!r}: {path} must end in .parquet or .csv")
     return LoadResult(tape, path, issues)
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from datetime import date
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from polderbook.functions.lookups import hra_rate_for, nhg_cap_for, nibud_factor
 from polderbook.model import COLUMNS
 from polderbook.sources import reader, reference_tables
-from polderbook.sources.store import TapeStore
+from polderbook.sources.store import TapeStore, VersionConflict
 from tests.rows import cases, loan
 
 
@@ -75,8 +76,8 @@ def test_csv_row_numbers_across_file_blocks(spark, tmp_path):
     try:
         for k, x in keys.items():
             spark.conf.set(k, x)
-        raw = reader.read_csv(spark, str(tmp_path / "tape.csv"))
-        assert raw.rdd.getNumPartitions() > 3
+        raw = reader.read_csv(spark, str(tmp_path / "tape.csv"), positions=True)
+        assert raw.select("__block").distinct().count() > 3
         issues = reader.csv_issues(raw).collect()
         assert [r["row_index"] for r in issues] == sorted(bad)
         assert [int(r["loan_id"][3:]) for r in issues] == sorted(bad)
@@ -85,6 +86,45 @@ def test_csv_row_numbers_across_file_blocks(spark, tmp_path):
             spark.conf.set(k, x)
 
 
+@pytest.mark.parametrize("split", [1, 7, 64, 1000, 1 << 20])
+def test_csv_records_with_line_breaks_at_any_split(spark, tmp_path, split):
+    import csv
+
+    texts = ["plain", "two\nlines", 'a "quoted" word', "", "x\n\n\"\n,y", "crlf\r\nhere", "\n" * 5, 'ends with "', "é\nü"]
+    rows = [(f"LN-{i}", texts[i % len(texts)], str(i)) for i in range(40)]
+    folder = tmp_path / "tapes"
+    folder.mkdir()
+    for name, part in (("a.csv", rows[:25]), ("b.csv", rows[25:])):
+        with open(folder / name, "w", newline="", encoding="utf-8") as file:
+            out = csv.writer(file, lineterminator="\n" if name == "a.csv" else "\r\n")
+            out.writerow(("loan_id", "remark\nof loan", "n"))
+            out.writerows(part)
+    keys = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        if split > 1:  # a task per byte only tells the same more slowly
+            for k, x in keys.items():
+                spark.conf.set(k, x)
+        raw = reader.read_csv(spark, str(folder), positions=True)
+        assert raw.columns[:3] == ["loan_id", "remark\nof loan", "n"]
+        got = [tuple(r)[:3] for r in raw.orderBy("__file", "__block", "__row").collect()]
+        assert got == [(a, b or None, c) for a, b, c in rows]
+    finally:
+        for k, x in before.items():
+            spark.conf.set(k, x)
+
+
+def test_csv_without_breaks_is_not_shuffled(spark, tmp_path):
+    from polderbook.sources import csv_records
+
+    write_csv(tmp_path / "tape.csv", [loan(i) for i in range(20)])
+    (tmp_path / "empty.csv").write_text("")
+    assert reader.read_csv(spark, str(tmp_path / "tape.csv")).count() == 20
+    assert reader.read_csv(spark, str(tmp_path / "empty.csv")).columns == []
+    lines = csv_records.records(spark, str(tmp_path / "tape.csv"))
+    assert lines.count() == 21
+
+
 def test_unknown_csv_column_is_kept_and_reported(spark, tmp_path):
     write_csv(tmp_path / "tape.csv", [{**loan(1), "remark": "x"}], (*COLUMNS, "remark"))
     result = reader.load_tape(spark, tmp_path / "tape.csv", strict=True)
@@ -123,6 +163,38 @@ def test_store_round_trip_overwrite_and_reopen(spark, tmp_path):
     assert again.list_tapes() == []
 
 
+def test_store_readers_are_pinned_and_old_versions_go_after_a_grace_period(spark, tmp_path):
+    store = TapeStore(spark, tmp_path / "store")
+    assert store.write_tape(cases(spark, {}, {}, {}), "t") == 1
+    opened = store.read_tape("t")
+    assert store.write_tape(cases(spark, {}), "t") == 2
+    assert opened.count() == 3 and store.read_tape("t").count() == 1 and store.read_tape("t", 1).count() == 3
+    assert store.vacuum(timedelta(hours=1)) == 0
+    later = datetime.now(timezone.utc) + timedelta(hours=2)
+    assert store.vacuum(timedelta(hours=1), later) == 1 and store.vacuum(timedelta(hours=1), later) == 0
+    assert store.read_tape("t").count() == 1 and store.latest_version("t") == 2
+    with pytest.raises(KeyError):
+        store.read_tape("t", 1)
+
+
+def test_store_lets_one_of_two_writers_win(spark, tmp_path):
+    store = TapeStore(spark, tmp_path / "store")
+    store.write_tape(cases(spark, {}), "t")
+
+    def attempt(rows):
+        try:
+            return TapeStore(spark, tmp_path / "store").write_tape(cases(spark, *[{}] * rows), "t", after=1)
+        except VersionConflict:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        results = list(pool.map(attempt, [2, 3, 4, 5]))
+    assert sorted(r for r in results if r) == [2]
+    assert store.read_tape("t").count() == [2, 3, 4, 5][results.index(2)]
+    assert len(list((tmp_path / "store" / "tapes" / "t").iterdir())) == 2
+    assert not [p for p in (tmp_path / "store" / "log" / "t").iterdir() if p.name.endswith(".draft")]
+
+
 def test_store_errors(spark, tmp_path):
     store = TapeStore(spark, tmp_path / "store")
     with pytest.raises(KeyError, match="not found"):
