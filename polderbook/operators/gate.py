@@ -6,14 +6,14 @@ from datetime import date
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polderbook.functions.derived import as_date
 from polderbook.operators.anacredit import check_conformance, map_tape
 from polderbook.operators.kpis import quick_scan_kpis
 from polderbook.operators.rules import RULES, scoped_loans
-from polderbook.operators.validation import validity_counts
+from polderbook.operators.validation import first_issues, validity_counts
 
 # ---- fixed value: share of loans with a critical finding that blocks a run -----
 MAX_CRITICAL_SHARE = 0.01
@@ -27,6 +27,12 @@ SEVERITY_ACTIONS = {
 }
 
 
+LEDGER = (
+    "tape_id string, stage string, status string, checked_count bigint, flagged_count bigint, reference_date date, "
+    "recorded_at timestamp, error_payload string, run_id string"
+)
+
+
 def severity_action(severity: Column) -> Column:
     action = F
     for name, result in SEVERITY_ACTIONS.items():
@@ -107,10 +113,39 @@ def ledger_rows(
     )
 
 
+#: Violations that a ledger row quotes.
+PAYLOAD_ROWS = 10
+
+
+def error_payload(tape: DataFrame, max_issues: int = PAYLOAD_ROWS) -> DataFrame:
+    """One row with ``error_payload``: the first violations as JSON, in order of ``loan_id``; null without any."""
+    found = first_issues(tape, ["loan_id"], max_issues).select("loan_id", "field", "code")
+    ordered = F.sort_array(F.collect_list(F.struct("loan_id", "field", "code")))
+    return found.agg(F.when(F.count(F.lit(1)) > 0, F.to_json(ordered, {"ignoreNullFields": "false"})).alias("error_payload"))
+
+
+def with_payload(ledger: DataFrame, payload: DataFrame) -> DataFrame:
+    """Ledger rows with the payload on the ingest row of a run that did not pass; ``payload`` has one row."""
+    shown = F.when((F.col("stage") == "ingest") & (F.col("status") != "OK"), F.col("error_payload"))
+    return ledger.join(payload.select(F.lit("ingest").alias("__stage"), "error_payload"), F.col("stage") == F.col("__stage"), "left"
+                       ).select(*ledger.columns, shown.alias("error_payload"))
+
+
 def append_to_ledger(
     gates: DataFrame, path: str, run_id: str, tape_id: str,
-    reference_date: date | Column | None = None,
+    reference_date: date | Column | None = None, payload: DataFrame | None = None,
 ) -> None:
-    """Append the outcome of a run: a handful of rows, one file."""
+    """Record the outcome of a run: a handful of rows in the partition of its ``run_id``.
+
+    Only the partition written is replaced, so a run that is recorded again after a failure
+    has one set of rows, and other runs may be recorded at the same time.
+    """
     rows = ledger_rows(gates, run_id, tape_id, reference_date)
-    rows.coalesce(1).write.mode("append").parquet(path)
+    rows = with_payload(rows, payload) if payload is not None else rows.withColumn(
+        "error_payload", F.lit(None).cast("string"))
+    rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """All recorded runs."""
+    return spark.read.schema(LEDGER).parquet(path)

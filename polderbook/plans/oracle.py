@@ -6,6 +6,7 @@ test tables under their plain names.
 
 from __future__ import annotations
 
+from polderbook.model import COLUMNS, FIELDS
 from polderbook.plans.tape_view import oracle_prefix
 
 _REF = "DATE '2025-06-01'"
@@ -235,7 +236,7 @@ _RESET_COST = _burdened(
     " THEN current_balance * 2e-2 ELSE 0e0 END", "5e0"
 )
 
-_METRICS = ("pd_12m", "current_balance", "days_past_due")
+_METRICS = tuple(f.name for f in FIELDS if f.kind in ("int", "double"))
 _KS_SERIES = " + ".join(
     f"{'2e0' if j % 2 else '-2e0'} * exp(-2e0 * {j} * {j} * lam * lam)" for j in range(1, 101)
 )
@@ -262,7 +263,7 @@ SELECT metric, n_before, n_after, round(d, 8) AS ks_statistic,
 FROM scaled"""
 
 
-_OUTLIER_METRICS = ("interest_rate", "dscr", "lgd")
+_OUTLIER_METRICS = _METRICS
 
 
 def _outliers() -> str:
@@ -539,7 +540,56 @@ SELECT 'ingest' AS stage, CASE WHEN hit > 0 THEN 'FAILED' ELSE 'OK' END AS statu
 UNION ALL SELECT 'validation', CASE WHEN hit > n * 1e-2 THEN 'BLOCKED' ELSE 'OK' END, n, hit FROM c
 UNION ALL SELECT 'anacredit', 'OK', n, CAST(0 AS BIGINT) FROM c
 UNION ALL SELECT 'quick_scan', 'OK', CAST(8 AS BIGINT), CAST(0 AS BIGINT)"""
+    number = "CAST(substr(loan_id, 4, 9) AS BIGINT)"
+    q["income_bands_asof"] = f"""{_TAPE},
+loans AS (SELECT loan_id, CAST(year(origination_date) AS INT) AS year, gross_household_income AS income, {number} AS k FROM tape),
+bands AS (SELECT year AS y, income AS start, max(CAST(CAST(floor(income / 1000) AS BIGINT) % 7 + 3 AS DOUBLE)) AS factor
+  FROM loans WHERE k % 3 = 0 GROUP BY ALL),
+firsts AS (SELECT y, arg_min(factor, start) AS factor FROM bands GROUP BY y)
+SELECT l.loan_id, l.year, l.income, coalesce(b.factor, f.factor) AS factor
+FROM loans l ASOF LEFT JOIN bands b ON l.year = b.y AND l.income >= b.start LEFT JOIN firsts f ON f.y = l.year"""
+    q["load_csv_values"] = f"""{_TAPE} SELECT loan_id, origination_date, current_balance, bouwjaar, tax_deduction_eligible,
+  rentevast_einddatum, CASE WHEN {number} % 3 = 0 THEN 'first "line"' || chr(10) || loan_id || ',' || chr(10) || chr(10) || 'last'
+  ELSE gemeente END AS remark FROM tape"""
+    q["store_versions"] = f"""{_TAPE} SELECT loan_id, ifrs9_stage, current_balance, CAST(1 AS BIGINT) AS version FROM tape
+UNION ALL SELECT loan_id, ifrs9_stage, current_balance, CAST(2 AS BIGINT) FROM tape WHERE ifrs9_stage = '2'"""
+    snapshots = " UNION ALL ".join(
+        f"""SELECT loan_id, DATE '{y}-06-01' AS seen, pd_lifetime * (25e-2 + ({number} + {y}) % 5) AS pd_lifetime,
+  ({number} * 7 + {y * 3}) % 11 >= 7 AS restructured, CASE WHEN ({number} * 7 + {y * 3}) % 11 = 3 THEN 120 ELSE days_past_due END >= 90
+  OR unlikely_to_pay_flag OR ({number} * 7 + {y * 3}) % 11 = 3 AS defaulted FROM tape WHERE {number} % 4 <= {y - 2022}"""
+        for y in (2022, 2023, 2024, 2025))
+    q["origination_pd"] = f"""{_TAPE}, snapshots AS ({snapshots}),
+first AS (SELECT loan_id, arg_min(pd_lifetime, seen) AS pd FROM snapshots GROUP BY loan_id)
+SELECT t.loan_id, pd AS pd_lifetime_at_origination,
+  CASE WHEN pd IS NULL THEN NULL ELSE t.pd_lifetime > 25e-1 * pd AND t.pd_lifetime - pd > 5e-3 END AS sicr_quant_pd_increase
+FROM tape t LEFT JOIN first f USING (loan_id)"""
+    island = """SELECT loan_id, min(seen) AS spell_start, max(seen) AS spell_end FROM (
+  SELECT loan_id, seen, {c}, row_number() OVER (PARTITION BY loan_id ORDER BY seen)
+    - row_number() OVER (PARTITION BY loan_id, {c} ORDER BY seen) AS island FROM snapshots) WHERE {c} GROUP BY loan_id, island"""
+    q["credit_events"] = f"""{_TAPE}, snapshots AS (SELECT * FROM ({snapshots}) WHERE seen <= {_REF}),
+r AS (SELECT loan_id, max(spell_start) AS restructure_date FROM ({island.format(c='restructured')}) GROUP BY loan_id),
+seen AS (SELECT loan_id, max(seen) AS last_seen FROM snapshots GROUP BY loan_id),
+d AS (SELECT loan_id, spell_start AS date_of_default FROM ({island.format(c='defaulted')}) JOIN seen USING (loan_id) WHERE spell_end = last_seen)
+SELECT loan_id, restructure_date, coalesce({_REF} <= restructure_date + INTERVAL 24 MONTH, false) AS forborne, date_of_default
+FROM r FULL JOIN d USING (loan_id)"""
+    listed = ", ".join(f"CASE WHEN o.{c} IS DISTINCT FROM n.{c} THEN '{c}' END" for c in (*COLUMNS, "easter_egg"))
+    q["tape_difference"] = f"""{_NEXT},
+later AS (SELECT * FROM next_tape WHERE {number} % 97 <> 0),
+after AS (SELECT * FROM later UNION ALL SELECT * FROM later WHERE {number} % 89 = 0
+  UNION ALL SELECT * REPLACE (loan_id || '-N' AS loan_id) FROM tape WHERE {number} % 101 = 0),
+gone AS (SELECT *, count(*) AS copies FROM (SELECT * FROM tape EXCEPT ALL SELECT * FROM after) GROUP BY ALL),
+come AS (SELECT *, count(*) AS copies FROM (SELECT * FROM after EXCEPT ALL SELECT * FROM tape) GROUP BY ALL),
+paired AS (SELECT o.loan_id, o.copies, concat_ws(',', {listed}) AS changed_columns FROM gone o JOIN come n
+  ON o.loan_id = n.loan_id AND o.copies = n.copies)
+SELECT loan_id, 'changed' AS change, copies, changed_columns FROM paired
+UNION ALL SELECT loan_id, 'removed', copies, NULL FROM gone WHERE loan_id NOT IN (SELECT loan_id FROM paired)
+UNION ALL SELECT loan_id, 'added', copies, NULL FROM come WHERE loan_id NOT IN (SELECT loan_id FROM paired)"""
     q["run_ledger"] = f"""WITH g AS ({q['stage_gate']})
 SELECT 'run-1' AS run_id, 'driver' AS tape_id, stage, status, checked_count, flagged_count,
   {_REF} AS reference_date FROM g"""
+    q["ledger_after_retry"] = f"""WITH g AS ({q['stage_gate']}), i AS ({q['first_issues']}),
+p AS (SELECT CAST(to_json(list({{'loan_id': loan_id, 'field': field, 'code': code}} ORDER BY loan_id)) AS VARCHAR) AS shown FROM i)
+SELECT run_id, 'driver' AS tape_id, stage, status, checked_count, flagged_count, {_REF} AS reference_date,
+  CASE WHEN stage = 'ingest' AND status <> 'OK' THEN shown END AS error_payload
+FROM g, p, (VALUES ('run-1'), ('run-2')) r(run_id)"""
     return q

@@ -9,25 +9,27 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polderbook.functions import derived
 from polderbook.functions.lookups import hra_rate_for, nhg_cap_for, nibud_columns
+from polderbook.model import FIELDS
 from polderbook.operators import (
-    anacredit, anomaly, drift, gate, kpis, portfolio, profile, report, rules, sicr, stress,
+    anacredit, anomaly, asof, difference, drift, gate, history, kpis, portfolio, profile, report, rules, sicr, stress,
     transitions, validation,
 )
 from polderbook.plans.tape_view import derive_tape, next_tape_view, tape_view
 from polderbook.session import tune
-from polderbook.sources import store
+from polderbook.sources import reader, store
+from polderbook.sources.shared import working_folder
 
 REFERENCE_DATE = date(2025, 6, 1)
 LTV_EDGES = (0.5, 0.7, 0.9, 1.0)
 HOUSE_PRICE_SHOCK = -0.2
 ENERGY_DISCOUNTS = {"E": 0.05, "F": 0.10, "G": 0.15}
-DRIFT_METRICS = ("pd_12m", "current_balance", "days_past_due")
-OUTLIER_METRICS = ("interest_rate", "dscr", "lgd")
+#: Every numeric column of the tape.
+NUMERIC = tuple(f.name for f in FIELDS if f.kind in ("int", "double"))
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -198,7 +200,7 @@ _ON_TAPE: dict[str, Callable[[DataFrame], DataFrame]] = {
     ).drop("waterfall_gap"),
     # anomalies
     "anomaly_rules": lambda t: rounded(
-        anomaly.robust_outliers(t, "repayment_type", OUTLIER_METRICS, threshold=2.0), max_abs_z=6
+        anomaly.robust_outliers(t, "repayment_type", NUMERIC, threshold=2.0), max_abs_z=6
     ),
     "repayment_mix_anomaly": lambda t: rounded(
         anomaly.repayment_mix_anomaly(t), share=8, mean_others=8, sd_others=8, z_score=5
@@ -220,11 +222,95 @@ _ON_TAPE |= {
 _ON_TWO_TAPES: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
     "roll_rate": lambda t, n: rounded(transitions.roll_rates(t, n), exposure=2, roll_rate=8),
     "ks_drift": lambda t, n: rounded(
-        drift.ks_drift(t, n, DRIFT_METRICS), ks_statistic=8, p_value=6
+        drift.ks_drift(t, n, NUMERIC), ks_statistic=8, p_value=6
     ),
 }
 
 
+def _number() -> Column:
+    return F.substring("loan_id", 4, 9).cast("long")
+
+
+def _income_bands(tape: DataFrame) -> DataFrame:
+    """Each loan with the factor of its income band; bands start at the incomes of every third loan of a year."""
+    loans = tape.select("loan_id", derived.vintage().alias("year"), F.col("gross_household_income").alias("income"))
+    bands = loans.where(_number() % 3 == 0).select(
+        "year", "income", (F.floor(F.col("income") / 1000) % 7 + 3).cast("double").alias("factor"))
+    return asof.asof_join(loans, bands, ["year"], "income", ["factor"], before_first="first")
+
+
+def _csv_values(tape: DataFrame) -> DataFrame:
+    """The tape written as CSV with line breaks and quotes in a remark, and read back."""
+    path = f"{working_folder(tape.sparkSession, 'csv')}/tape.csv"
+    remark = F.when(_number() % 3 == 0, F.concat(F.lit('first "line"\n'), "loan_id", F.lit(",\n\nlast"))).otherwise(F.col("gemeente"))
+    reader.payload(tape).withColumn("remark", remark).write.option("header", True).option("escape", '"').csv(path)
+    return reader.load_tape(tape.sparkSession, path).tape
+
+
+def _store_versions(tape: DataFrame) -> DataFrame:
+    """A reader opened before an overwrite, and the version that replaced it."""
+    shelf = store.TapeStore(tape.sparkSession, working_folder(tape.sparkSession, "store"))
+    first = shelf.write_tape(reader.payload(tape), "tape")
+    opened = shelf.read_tape("tape")
+    second = shelf.write_tape(store.by_stage(opened, "2"), "tape", after=first)
+    versions = ((opened, first), (shelf.read_tape("tape"), second), (shelf.query_by_stage("tape", "1"), second))
+    read = [t.select("loan_id", "ifrs9_stage", "current_balance", F.lit(v).cast("bigint").alias("version")) for t, v in versions]
+    return read[0].unionByName(read[1]).unionByName(read[2])
+
+
+def _snapshots(tape: DataFrame) -> DataFrame:
+    """Four yearly snapshots of the loans; loans enter late, and their risk and status move."""
+    def snapshot(year: int) -> DataFrame:
+        turn = (_number() * 7 + year * 3) % 11
+        return tape.where(_number() % 4 <= year - 2022).select(
+            "loan_id", F.lit(date(year, 6, 1)).alias("snapshot_date"),
+            (F.col("pd_lifetime") * (0.25 + (_number() + year) % 5)).alias("pd_lifetime"),
+            (turn >= 7).alias("restructured_flag"), F.when(turn == 3, F.lit(120)).otherwise(F.col("days_past_due")).alias("days_past_due"),
+            "unlikely_to_pay_flag", F.when(turn == 3, F.lit("3")).otherwise(F.lit("1")).alias("ifrs9_stage"))
+
+    frames = [snapshot(y) for y in (2022, 2023, 2024, 2025)]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3])
+
+
+def _origination_pd(tape: DataFrame) -> DataFrame:
+    """The quantitative trigger against the first snapshot; the last snapshot is merged into an earlier result."""
+    past = _snapshots(tape)
+    cut = F.lit(date(2025, 1, 1))
+    known = history.first_values(past.where(F.col("snapshot_date") < cut), ["pd_lifetime"])
+    first = history.first_values(past.where(F.col("snapshot_date") >= cut), ["pd_lifetime"], known=known)
+    return sicr.sicr_triggers(history.with_origination_pd(tape, first), R).select(
+        "loan_id", sicr.ORIGINATION_PD, "sicr_quant_pd_increase")
+
+
+def _changed_tape(tape: DataFrame, later: DataFrame) -> DataFrame:
+    """Differences to the next snapshot, in which some loans are gone, new or listed twice."""
+    after = later.where(_number() % 97 != 0)
+    twice = after.where(_number() % 89 == 0)
+    fresh = tape.where(_number() % 101 == 0).withColumn("loan_id", F.concat("loan_id", F.lit("-N")))
+    return difference.tape_difference(tape, after.unionByName(twice).unionByName(fresh))
+
+
+def _recorded(tape: DataFrame) -> DataFrame:
+    """A ledger in which one run was recorded twice, as after a retry."""
+    path = working_folder(tape.sparkSession, "ledger")
+    gates, payload = gate.stage_gates(tape, R), gate.error_payload(tape)
+    for run in ("run-1", "run-2", "run-1"):
+        gate.append_to_ledger(gates, path, run, "driver", R, payload)
+    return gate.read_ledger(tape.sparkSession, path).drop("recorded_at")
+
+
+_ON_TAPE |= {
+    "income_bands_asof": _income_bands,
+    "load_csv_values": lambda t: _csv_values(t).select(
+        "loan_id", "origination_date", "current_balance", "bouwjaar", "tax_deduction_eligible", "rentevast_einddatum", "remark"),
+    "store_versions": _store_versions,
+    "origination_pd": _origination_pd,
+    "credit_events": lambda t: history.credit_events(_snapshots(t), F.lit(R)),
+    "ledger_after_retry": _recorded,
+}
+_ON_TWO_TAPES["tape_difference"] = _changed_tape
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {"tape_view": lambda spark, sf: derive_tape(tune(spark), sf)}
     for name, build in _ON_TAPE.items():

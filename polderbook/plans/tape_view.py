@@ -127,7 +127,15 @@ tape AS (
 """
 
 # A tape one month later: some loans cured, some rolled forward, some repaid.
-_NEXT_TAPE_CTE = """
+_MOVED = {
+    "days_past_due": "dpd2",
+    "arrears_bucket":
+        "CASE WHEN dpd2 = 0 THEN '0' WHEN dpd2 <= 30 THEN '1-30' WHEN dpd2 <= 60 THEN '31-60'"
+        " WHEN dpd2 < 90 THEN '61-90' ELSE '90+' END",
+    "current_balance": "CASE WHEN k % 11 = 0 THEN current_balance * 9e-1 ELSE current_balance END",
+    "pd_12m": "CASE WHEN k % 5 = 0 THEN pd_12m * 15e-1 ELSE pd_12m END",
+}
+_NEXT_TAPE_CTE = f"""
 moved AS (
   SELECT *, CAST(substr(loan_id, 4) AS BIGINT) AS k FROM tape
 ),
@@ -138,12 +146,7 @@ next_dpd AS (
   FROM moved WHERE k % 53 <> 0
 ),
 next_tape AS (
-  SELECT loan_id, dpd2 AS days_past_due,
-    CASE WHEN dpd2 = 0 THEN '0' WHEN dpd2 <= 30 THEN '1-30' WHEN dpd2 <= 60 THEN '31-60'
-         WHEN dpd2 < 90 THEN '61-90' ELSE '90+' END AS arrears_bucket,
-    CASE WHEN k % 11 = 0 THEN current_balance * 9e-1 ELSE current_balance END AS current_balance,
-    CASE WHEN k % 5 = 0 THEN pd_12m * 15e-1 ELSE pd_12m END AS pd_12m,
-    lgd, interest_rate, dscr
+  SELECT {', '.join(f"{_MOVED[c]} AS {c}" if c in _MOVED else c for c in LABELLED_SCHEMA.names)}
   FROM next_dpd
 )
 """
