@@ -166,7 +166,7 @@ def check_conformance(
         if name in columns:
             value = F.col(name)
             text = F.format_string(
-                f"{name} value '%s' not in allowed enumeration [%s]",
+                f"{name} is '%s', known are: %s",
                 value, F.lit(", ".join(sorted(values))),
             )
             invalid.append(F.when(~value.isin(*values), text))

@@ -89,14 +89,14 @@ def _ltv_gap(context: RuleContext) -> Column:
 
 
 def _ltv_text(context: RuleContext) -> Column:
-    undefined = F.lit("property_value_current is 0 — LTV undefined")
+    undefined = F.lit("no LTV: the current property value is zero")
     if not context.stored_ltv:
         return undefined
     value = _c("property_value_current")
     derived = _c("current_balance") / F.nullif(value, F.lit(0.0))
     return F.when(value == 0, undefined).otherwise(
         F.format_string(
-            f"current_ltv %.4f differs from derived %.4f by > {LTV_TOLERANCE}",
+            f"stored LTV %.4f, but balance over value gives %.4f (allowed gap {LTV_TOLERANCE})",
             _c(STORED_LTV), derived,
         )
     )
@@ -110,14 +110,14 @@ def _interest_only_cap() -> Column:
     return _c("property_value_at_origination") * INTEREST_ONLY_CAP_RATIO
 
 
-# Rule names, severities, dimensions, citations and message formats are fixed
-# values: downstream reports key on them.
+# Rule names, severities, dimensions, thresholds and citations are fixed values:
+# downstream reports key on them.
 _BUILT_IN = (
     Rule(
         "negative_amortization", "CRITICAL", "integrity", "Schema integrity (internal)",
         lambda ctx: _c("current_balance") > _c("original_principal") * AMORTIZATION_TOLERANCE,
         lambda ctx: F.format_string(
-            "current_balance %s exceeds original_principal %s (tolerance 0.1%%)",
+            "balance %s is more than 0.1%% above the principal %s",
             _amount(_c("current_balance")), _amount(_c("original_principal")),
         ),
     ),
@@ -125,14 +125,14 @@ _BUILT_IN = (
         "stage_3_backstop", "CRITICAL", "integrity", "IFRS 9 par. 5.5.11",
         lambda ctx: (_c("ifrs9_stage") == "3") & ~_has_backstop(),
         lambda ctx: F.lit(
-            "Stage 3 loan with dpd<90 and no UTP/forborne flag violates IFRS 9 backstop"
+            "in stage 3 without 90 days of arrears, unlikely-to-pay flag or restructuring"
         ),
     ),
     Rule(
         "nhg_cap", "CRITICAL", "integrity", "NHG / WEW annual cap",
         lambda ctx: _c("nhg_flag") & (_c("original_principal") > _c("nhg_cap_at_origination")),
         lambda ctx: F.format_string(
-            "NHG-flagged loan exceeds NHG cap: %s > %s",
+            "guaranteed under NHG, but the principal %s is above the cap %s",
             _amount(_c("original_principal")), _amount(_c("nhg_cap_at_origination")),
         ),
     ),
@@ -145,8 +145,7 @@ _BUILT_IN = (
             | (_c("origination_date") < F.lit(HRA_REGIME_START))
         ),
         lambda ctx: F.format_string(
-            "tax_deduction_eligible=True with non-eligible repayment_type %s "
-            "or pre-2013 origination_date %s",
+            "deducts interest, which repayment type %s with a start on %s does not allow",
             _c("repayment_type"), _day(_c("origination_date")),
         ),
     ),
@@ -157,8 +156,8 @@ _BUILT_IN = (
         "pd_monotonicity", "HIGH", "integrity", "Survival-analysis monotonicity",
         lambda ctx: _c("pd_lifetime") < _c("pd_12m"),
         lambda ctx: F.concat(
-            F.lit("pd_lifetime "), _c("pd_lifetime").cast("string"),
-            F.lit(" < pd_12m "), _c("pd_12m").cast("string"),
+            F.lit("12-month PD "), _c("pd_12m").cast("string"),
+            F.lit(" is above the lifetime PD "), _c("pd_lifetime").cast("string"),
         ),
     ),
     Rule(
@@ -167,8 +166,8 @@ _BUILT_IN = (
         lambda ctx: (_c("ifrs9_stage") == "1")
         & (_valuation_age(ctx) > MAX_VALUATION_MONTHS_STAGE_1),
         lambda ctx: F.format_string(
-            "Stage 1 loan with taxatie_date %s is %d months old "
-            f"(> {MAX_VALUATION_MONTHS_STAGE_1})",
+            "last valued on %s, %d months ago; stage 1 allows "
+            f"{MAX_VALUATION_MONTHS_STAGE_1}",
             _day(_c("taxatie_date")), _valuation_age(ctx),
         ),
     ),
@@ -177,8 +176,7 @@ _BUILT_IN = (
         "Tijdelijke regeling hypothecair krediet (Min. Fin. + AFM) + Nibud",
         lambda ctx: original_lti() > LTI_HARD_CAP,
         lambda ctx: F.format_string(
-            f"original_lti %.2f exceeds hard cap {LTI_HARD_CAP} "
-            "(income-banded Nibud cap stricter)",
+            f"borrowed %.2f times the income, limit {LTI_HARD_CAP}",
             original_lti(),
         ),
     ),
@@ -188,7 +186,7 @@ _BUILT_IN = (
         lambda ctx: _c("tax_deduction_eligible")
         & (_c("interest_only_portion") > _interest_only_cap()),
         lambda ctx: F.format_string(
-            "interest_only_portion %s exceeds 50%% of property value %s on HRA-eligible loan",
+            "interest-only part %s is above its limit of %s",
             _amount(_c("interest_only_portion")), _amount(_interest_only_cap()),
         ),
     ),

@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 
 from polderbook.functions.bins import order_bin
 from polderbook.operators import anomaly, drift, portfolio, sicr, stress, transitions
-from tests.rows import REFERENCE_DATE, cases
+from tests.rows import LOAN, REFERENCE_DATE, cases
 
 
 def test_vintage_arrears(spark):
     frame = cases(spark, {}, {}, {"arrears_bucket": "1-30"}, {"origination_date": date(2020, 1, 1)})
     out = {(r["vintage"], r["arrears_bucket"]): (r["loan_count"], r["share_of_vintage"])
            for r in portfolio.vintage_arrears(frame).collect()}
-    assert out[(2018, "0")] == (2, pytest.approx(2 / 3)) and out[(2020, "0")] == (1, 1.0)
+    assert out[(2019, "0")] == (2, pytest.approx(2 / 3)) and out[(2020, "0")] == (1, 1.0)
     wide = {r["vintage"]: r for r in portfolio.vintage_arrears_matrix(frame).collect()}
-    assert wide[2018]["1-30"] == 1 and wide[2020]["90+"] == 0
+    assert wide[2019]["1-30"] == 1 and wide[2020]["90+"] == 0
 
 
 def test_concentrations(spark):
@@ -41,18 +41,18 @@ def test_ltv_bands_cover_everything(spark):
 
 
 def test_waterfall_density_and_ecl(spark):
-    frame = cases(spark, {}, {"rentevast_einddatum": None}, {"rentevast_einddatum": date(2035, 1, 1)})
+    frame = cases(spark, {}, {"rentevast_einddatum": None}, {"rentevast_einddatum": date(2035, 1, 1)}, {"rentevast_einddatum": date(2028, 12, 31)})
     out = [(r["expiry_year"], r["in_reset_wave"]) for r in portfolio.rentevast_waterfall(frame).collect()]
-    assert out == [(None, False), (2028, True), (2035, False)]
-    assert portfolio.rwa_density(frame).first()["rwa_density"] == pytest.approx(0.35)
+    assert out == [(None, False), (2028, True), (2035, False), (2039, False)]
+    assert portfolio.rwa_density(frame).first()["rwa_density"] == pytest.approx(LOAN["risk_weight"])
     assert portfolio.rwa_density(frame.limit(0)).first()["rwa_density"] == 0.0
-    assert portfolio.ecl_by_stage(frame).first()["ecl"] == pytest.approx(3 * 187.5)
+    assert portfolio.ecl_by_stage(frame).first()["ecl"] == pytest.approx(4 * LOAN["pd_12m"] * LOAN["lgd"] * LOAN["ead"])
 
 
 def test_trend_changes(spark):
     frame = cases(spark, {"pd_12m": 0.01}, {"origination_date": date(2020, 1, 1), "pd_12m": 0.03})
     rows = {r["vintage"]: r for r in portfolio.vintage_trend(frame).collect()}
-    assert rows[2018]["pd_change"] is None and rows[2020]["pd_change"] == pytest.approx(0.02)
+    assert rows[2019]["pd_change"] is None and rows[2020]["pd_change"] == pytest.approx(0.02)
 
 
 def test_roll_rates_equal_the_join_even_with_repeated_ids(spark):
@@ -150,9 +150,9 @@ def test_no_shock_changes_nothing(spark):
 def test_house_price_fall_raises_lgd_outside_nhg(spark):
     frame = cases(spark, {}, {"nhg_flag": True})
     rows = stress.house_price_shock(frame, -0.2).collect()
-    after = 250000.0 / (420000.0 * 0.8)
-    assert rows[0]["stressed_lgd"] == pytest.approx(0.15 + (after - 0.6) * 0.5)
-    assert rows[1]["stressed_lgd"] == 0.15
+    after = LOAN["current_balance"] / (LOAN["property_value_current"] * 0.8)
+    assert rows[0]["stressed_lgd"] == pytest.approx(LOAN["lgd"] + (after - after * 0.8) * 0.5)
+    assert rows[1]["stressed_lgd"] == LOAN["lgd"]
     with pytest.raises(ValueError):
         stress.house_price_shock(frame, -1.0)
 
@@ -160,11 +160,11 @@ def test_house_price_fall_raises_lgd_outside_nhg(spark):
 def test_cost_scenarios(spark):
     frame = cases(spark, {}, {"tax_deduction_eligible": False, "rentevast_einddatum": None})
     hra = stress.hra_phase_out(frame, new_rate=0.2697, pd_response=2.0).collect()
-    assert hra[0]["stressed_pd"] == pytest.approx(0.005 * (1 + 2 * 250000 * 0.025 * 0.1 / 75000))
-    assert hra[1]["stressed_pd"] == 0.005
-    reset = stress.rate_reset(frame, date(2028, 1, 1), date(2028, 12, 31), pd_response=3.0).collect()
-    assert reset[0]["stressed_pd"] == pytest.approx(0.005 * (1 + 3 * 250000 * 0.02 / 75000))
-    assert reset[1]["stressed_pd"] == 0.005
+    assert hra[0]["stressed_pd"] == pytest.approx(LOAN["pd_12m"] * (1 + 2 * LOAN["current_balance"] * LOAN["interest_rate"] * (LOAN["hra_phase_out_rate"] - 0.2697) / LOAN["gross_household_income"]))
+    assert hra[1]["stressed_pd"] == LOAN["pd_12m"]
+    reset = stress.rate_reset(frame, date(2039, 1, 1), date(2039, 12, 31), pd_response=3.0).collect()
+    assert reset[0]["stressed_pd"] == pytest.approx(LOAN["pd_12m"] * (1 + 3 * LOAN["current_balance"] * 0.02 / LOAN["gross_household_income"]))
+    assert reset[1]["stressed_pd"] == LOAN["pd_12m"]
 
 
 def test_stress_status(spark):

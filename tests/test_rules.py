@@ -6,22 +6,22 @@ import pytest
 from pyspark.sql import functions as F
 
 from polderbook.operators import rules
-from tests.rows import REFERENCE_DATE, cases
+from tests.rows import LOAN, REFERENCE_DATE, cases
 
+PRINCIPAL, INCOME, WORTH = LOAN["original_principal"], LOAN["gross_household_income"], LOAN["property_value_at_origination"]
+#: Rule, a change just beyond its threshold, a change just within it.
 CASES = [
-    ("negative_amortization", {"current_balance": 400000.0}, {"current_balance": 300100.0}),
-    ("nhg_cap", {"nhg_flag": True, "original_principal": 500000.0, "gross_household_income": 9e5},
-     {"original_principal": 500000.0, "gross_household_income": 9e5}),
-    ("ltv_consistency", {"property_value_current": 0.0}, {}),
-    ("taxatie_freshness", {"taxatie_date": date(2018, 1, 1)}, {"taxatie_date": date(2022, 6, 30)}),
-    ("lti_cap", {"gross_household_income": 40000.0}, {"gross_household_income": 50000.0}),
-    ("interest_only_cap", {"interest_only_portion": 262500.0}, {"interest_only_portion": 131250.0}),
+    ("taxatie_freshness", {"taxatie_date": date(2022, 5, 31)}, {"taxatie_date": date(2022, 6, 1)}),
+    ("lti_cap", {"gross_household_income": PRINCIPAL / 6.01}, {"gross_household_income": PRINCIPAL / 6}),
+    ("negative_amortization", {"current_balance": PRINCIPAL * 1.0011}, {"current_balance": PRINCIPAL * 1.0009}),
+    ("interest_only_cap", {"interest_only_portion": WORTH / 2 + 1}, {"interest_only_portion": WORTH / 2}),
+    ("ltv_consistency", {"property_value_current": 0.0}, {"property_value_current": 1.0}),
+    ("nhg_cap", {"nhg_flag": True, "nhg_cap_at_origination": PRINCIPAL - 1}, {"nhg_flag": True, "nhg_cap_at_origination": PRINCIPAL}),
 ]
 RAW_CASES = [
-    ("stage_3_backstop", {"ifrs9_stage": "3", "taxatie_date": date(2018, 1, 1)},
-     {"ifrs9_stage": "3", "days_past_due": 120, "arrears_bucket": "90+"}),
-    ("hra_eligibility", {"repayment_type": "SPAAR"}, {"repayment_type": "LINEAIR"}),
-    ("pd_monotonicity", {"pd_lifetime": 0.001}, {"pd_lifetime": 0.005}),
+    ("pd_monotonicity", {"pd_lifetime": LOAN["pd_12m"] / 2}, {"pd_lifetime": LOAN["pd_12m"]}),
+    ("hra_eligibility", {"origination_date": date(2012, 12, 31)}, {"origination_date": date(2013, 1, 1)}),
+    ("stage_3_backstop", {"ifrs9_stage": "3", "days_past_due": 89}, {"ifrs9_stage": "3", "days_past_due": 90}),
 ]
 
 
@@ -53,11 +53,11 @@ def test_rules_behind_the_schema_fire_only_ungated(spark):
 
 
 def test_findings_carry_the_rule_attributes(spark):
-    row = rules.run_all_rules(cases(spark, CASES[0][1]), REFERENCE_DATE).first()
+    row = rules.run_all_rules(cases(spark, {"current_balance": 400000.0}), REFERENCE_DATE).first()
     assert row.asDict() == {
         "loan_id": "LN-0000001", "rule_name": "negative_amortization", "severity": "CRITICAL",
         "regulation": "Schema integrity (internal)", "bcbs239_dimension": "integrity",
-        "message": "current_balance 400,000 exceeds original_principal 300,000 (tolerance 0.1%)",
+        "message": "balance 400,000 is more than 0.1% above the principal 240,000",
         "passed": False,
     }
     assert all(r.regulation for r in rules.RULES.values())
@@ -67,15 +67,15 @@ def test_messages(spark):
     frame = cases(spark, *[c for _, c, _ in CASES + RAW_CASES])
     text = {r["rule_name"]: r["message"]
             for r in rules.run_all_rules(frame, REFERENCE_DATE, gated=False).collect()}
-    assert text["nhg_cap"] == "NHG-flagged loan exceeds NHG cap: 500,000 > 265,000"
+    assert text["nhg_cap"] == "guaranteed under NHG, but the principal 240,000 is above the cap 239,999"
     assert text["taxatie_freshness"] == (
-        "Stage 1 loan with taxatie_date 2018-01-01 is 89 months old (> 36)")
+        "last valued on 2022-05-31, 37 months ago; stage 1 allows 36")
     assert text["lti_cap"] == (
-        "original_lti 7.50 exceeds hard cap 6.0 (income-banded Nibud cap stricter)")
+        "borrowed 6.01 times the income, limit 6.0")
     assert text["interest_only_cap"] == (
-        "interest_only_portion 262,500 exceeds 50% of property value 175,000 on HRA-eligible loan")
-    assert text["pd_monotonicity"] == "pd_lifetime 0.001 < pd_12m 0.005"
-    assert "SPAAR" in text["hra_eligibility"] and "2018-06-01" in text["hra_eligibility"]
+        "interest-only part 140,001 is above its limit of 140,000")
+    assert text["pd_monotonicity"] == "12-month PD 0.004 is above the lifetime PD 0.002"
+    assert "LINEAIR" in text["hra_eligibility"] and "2012-12-31" in text["hra_eligibility"]
 
 
 def test_invalid_rows_are_skipped_by_default(spark):
@@ -86,12 +86,12 @@ def test_invalid_rows_are_skipped_by_default(spark):
 
 def test_stored_ltv_is_compared_when_ungated(spark):
     frame = cases(spark, {}, {}, {}).withColumn(
-        "current_ltv", F.lit(250000.0 / 420000.0) + F.when(
+        "current_ltv", F.lit(LOAN["current_balance"] / LOAN["property_value_current"]) + F.when(
             F.col("loan_id") == "LN-0000002", 0.006).otherwise(0.004))
     assert failures(frame) == {}  # the extra column makes every row invalid
     assert failures(frame, gated=False) == {2: ["ltv_consistency"]}
     zero = cases(spark, {"property_value_current": 0.0}).withColumn("current_ltv", F.lit(0.5))
-    assert "undefined" in rules.run_all_rules(zero, REFERENCE_DATE, gated=False).first()["message"]
+    assert "no LTV" in rules.run_all_rules(zero, REFERENCE_DATE, gated=False).first()["message"]
 
 
 def test_several_failures_keep_registry_order(spark):
@@ -104,7 +104,7 @@ def test_passes_are_low_and_ok(spark):
     rows = rules.run_all_rules(cases(spark, {}), REFERENCE_DATE, include_passes=True).collect()
     assert len(rows) == 9
     assert {(r["severity"], r["message"], r["passed"]) for r in rows} == {("LOW", "OK", True)}
-    single = rules.run_rule(cases(spark, {}, CASES[0][1]), "negative_amortization",
+    single = rules.run_rule(cases(spark, {}, {"current_balance": 400000.0}), "negative_amortization",
                             REFERENCE_DATE, include_passes=True).collect()
     assert [r["passed"] for r in single] == [True, False]
 
@@ -129,7 +129,7 @@ def test_own_rule(spark):
 
 
 def test_counts_flags_and_selection(spark):
-    frame = cases(spark, {}, CASES[0][1], {"lgd": 9.0})
+    frame = cases(spark, {}, {"current_balance": 400000.0}, {"lgd": 9.0})
     counts = {r["rule_name"]: (r["loan_count"], r["failed_count"])
               for r in rules.rule_counts(frame, REFERENCE_DATE).collect()}
     assert counts["negative_amortization"] == (2, 1) and counts["nhg_cap"] == (2, 0)

@@ -10,7 +10,7 @@ from polderbook.functions.lookups import hra_rate_for, nhg_cap_for, nibud_factor
 from polderbook.model import COLUMNS
 from polderbook.sources import reader, reference_tables
 from polderbook.sources.store import TapeStore, VersionConflict
-from tests.rows import cases, loan
+from tests.rows import LOAN, cases, loan
 
 
 def write_csv(path, rows, header=COLUMNS):
@@ -61,8 +61,8 @@ def test_csv_types_and_issues(spark, tmp_path):
     result = reader.load_tape(spark, tmp_path / "tape.csv", strict=True)
     got = {r["loan_id"]: r for r in result.tape.collect()}
     first = got["LN-0000001"]
-    assert first["origination_date"] == date(2018, 6, 1) and first["ifrs9_stage"] == "1"
-    assert first["tax_deduction_eligible"] is True and first["bouwjaar"] == 1995
+    assert first["origination_date"] == LOAN["origination_date"] and first["ifrs9_stage"] == "1"
+    assert first["tax_deduction_eligible"] is True and first["bouwjaar"] == LOAN["bouwjaar"]
     assert got["LN-0000003"]["rentevast_einddatum"] is None
     assert [(i.row_index, i.field) for i in result.issue_list()] == [(1, "lgd"), (3, "bouwjaar")]
 

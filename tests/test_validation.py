@@ -19,35 +19,36 @@ def found(frame):
     return out
 
 
+def _just_outside():
+    """For every column of the model a value just beyond each of its limits, with the code it must get."""
+    for f in FIELDS:
+        step = 1 if f.kind == "int" else 1e-6
+        if f.low is not None:
+            yield {f.name: type(step)(f.low) - step}, f.name, "greater_than_equal"
+        if f.high is not None:
+            beyond = type(step)(f.high) + (0 if f.high_open else step)
+            yield {f.name: beyond}, f.name, "less_than" if f.high_open else "less_than_equal"
+        if f.kind == "enum":
+            for value in ("", f"{f.allowed[0]} ", ",".join(f.allowed[:2]), f.allowed[-1].lower() + "x"):
+                yield {f.name: value}, f.name, "enum"
+        if f.min_len and f.name != "loan_id":
+            yield {f.name: " " * f.min_len}, f.name, "string_too_short"
+        if f.max_len:
+            yield {f.name: "E" * (f.max_len + 1)}, f.name, "string_too_long"
+        if f.pattern:
+            for value in (LOAN[f.name][:-1], LOAN[f.name].lower(), LOAN[f.name][::-1]):
+                yield {f.name: value}, f.name, "string_pattern_mismatch"
+
+
 SINGLE_FIELD = [
-    ({"pd_12m": 1.5}, "pd_12m", "less_than_equal"),
-    ({"pd_12m": -0.1}, "pd_12m", "greater_than_equal"),
-    ({"lgd": 1.2}, "lgd", "less_than_equal"),
-    ({"lgd": -0.01}, "lgd", "greater_than_equal"),
-    ({"interest_rate": 2.5}, "interest_rate", "less_than"),
-    ({"interest_rate": 1.0}, "interest_rate", "less_than"),
-    ({"interest_rate": -0.001}, "interest_rate", "greater_than_equal"),
-    ({"hra_phase_out_rate": 0.56}, "hra_phase_out_rate", "less_than_equal"),
-    ({"days_past_due": -1}, "days_past_due", "greater_than_equal"),
-    ({"pc6": "1011A"}, "pc6", "string_pattern_mismatch"),
-    ({"pc6": "1011ab"}, "pc6", "string_pattern_mismatch"),
-    ({"pc6": "ABCDEF"}, "pc6", "string_pattern_mismatch"),
-    ({"bouwjaar": 1500}, "bouwjaar", "greater_than_equal"),
-    ({"bouwjaar": 2200}, "bouwjaar", "less_than_equal"),
-    ({"currency": "EU"}, "currency", "string_too_short"),
-    ({"currency": "EURO"}, "currency", "string_too_long"),
-    ({"gemeente": "  "}, "gemeente", "string_too_short"),
-    ({"energy_label": "H"}, "energy_label", "enum"),
-    ({"energy_label": "A,B"}, "energy_label", "enum"),
-    ({"energy_label": ""}, "energy_label", "enum"),
-    ({"energy_label": " B"}, "energy_label", "enum"),
+    *_just_outside(),
     ({"dscr": float("nan")}, "dscr", "greater_than_equal"),
     ({"pd_lifetime": float("nan")}, "pd_lifetime", "less_than_equal"),
-    ({"currency": "USD"}, None, "currency_is_eur"),
-    ({"maturity_date": date(2018, 6, 1)}, None, "maturity_after_origination"),
-    ({"pd_lifetime": 0.001}, None, "pd_lifetime_ge_pd_12m"),
+    ({"currency": "GBP"}, None, "currency_is_eur"),
+    ({"maturity_date": LOAN["origination_date"]}, None, "maturity_after_origination"),
+    ({"pd_lifetime": LOAN["pd_12m"] / 2}, None, "pd_lifetime_ge_pd_12m"),
     ({"ifrs9_stage": "3"}, None, "stage_3_backstop"),
-    ({"repayment_type": "AFLOSSINGSVRIJ"}, None, "hra_repayment_type"),
+    ({"repayment_type": "SPAAR"}, None, "hra_repayment_type"),
     ({"origination_date": date(2012, 12, 31)}, None, "hra_regime_start"),
 ]
 
@@ -69,7 +70,7 @@ def test_valid_variants_pass(spark):
     )
     assert v.validate_tape(frame) == 11
     assert found(frame) == {}
-    assert v.valid_loans(frame).where("loan_id = 'LN-0000003'").first()["pc6"] == "1011AB"
+    assert v.valid_loans(frame).where("loan_id = 'LN-0000003'").first()["pc6"] == LOAN["pc6"]
 
 
 def test_null_is_an_error_in_every_column_but_one(spark):
@@ -110,8 +111,9 @@ def test_flag_filter_and_counts_agree(spark):
     assert flags.where("is_valid IS NULL").count() == 0
     assert v.valid_loans(frame).count() == 2
     counts = v.validity_counts(frame).first()
-    assert (counts["row_count"], counts["valid_count"], counts["skipped_count"]) == (31, 2, 29)
-    with pytest.raises(ValueError, match="29 of 31"):
+    assert (counts["row_count"], counts["valid_count"], counts["skipped_count"]) == (
+        len(SINGLE_FIELD) + 2, 2, len(SINGLE_FIELD))
+    with pytest.raises(ValueError, match=f"{len(SINGLE_FIELD)} of {len(SINGLE_FIELD) + 2}"):
         v.validate_tape(frame)
 
 
@@ -181,8 +183,8 @@ def test_lax_parsing_of_text(spark):
     frame = spark.createDataFrame([tuple(r[c] for c in COLUMNS) for r in rows], schema)
     assert found(frame) == {i: [e] for i, (_, e) in enumerate(variants, 1) if e}
     row = v.valid_loans(frame).where("loan_id = 'LN-0000018'").first()
-    assert row["origination_date"] == date(2018, 6, 1) and row["bouwjaar"] == 1995
-    assert row["nhg_flag"] is False and row["lgd"] == 0.15
+    assert row["origination_date"] == LOAN["origination_date"] and row["bouwjaar"] == LOAN["bouwjaar"]
+    assert row["nhg_flag"] is False and row["lgd"] == LOAN["lgd"]
 
 
 def test_lax_conversion_of_other_types(spark):
