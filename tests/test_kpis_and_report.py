@@ -24,7 +24,7 @@ def test_quick_scan_values(spark):
     assert out["weighted_avg_pd_12m"] == pytest.approx((10 + 60) / 500)  # null keeps its weight
     assert out["nhg_share"] == 0.25 and out["aflossingsvrij_share"] == 0.25
     assert out["ifrs9_stage_mix"] == {"1": 0.75, "2": 0.25, "3": 0.0}
-    assert out["energy_label_mix"] == {"B": 0.75, "G": 0.25}
+    assert out["energy_label_mix"] == {"C": 0.75, "G": 0.25}
 
 
 def test_ltv_of_a_zero_valuation(spark):
@@ -99,11 +99,12 @@ def test_cohort_recall(spark):
 
 
 def test_profiles(spark):
-    frame = cases(spark, {}, {"energy_label": "G", "bouwjaar": 1950}, {"pc6": "bad"})
+    frame = cases(spark, {"bouwjaar": 2001, "rentevast_einddatum": date(2027, 1, 1)}, {"energy_label": "G", "bouwjaar": 1950},
+                  {"pc6": "bad", "bouwjaar": 2001})
     shares = profile.share_profile(frame).first()
     assert shares["low_label_share_old_stock"] == 1.0
     assert shares["legacy_share_pre_2013"] is None
-    assert shares["reset_wave_share"] == 1.0
+    assert shares["reset_wave_share"] == pytest.approx(1 / 3)
     checks = profile.assertion_profile(frame).first()
     assert checks["all_pc6_valid"] is False and checks["all_currency_eur"] is True
     assert checks["energy_label_count"] == 2
