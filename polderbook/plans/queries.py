@@ -16,8 +16,8 @@ from polderbook.functions import derived
 from polderbook.functions.lookups import hra_rate_for, nhg_cap_for, nibud_columns
 from polderbook.model import FIELDS
 from polderbook.operators import (
-    anacredit, anomaly, asof, difference, drift, gate, history, kpis, portfolio, profile, report, rules, sicr, stress,
-    transitions, validation,
+    anacredit, anomaly, asof, difference, drift, gate, history, isolation, kpis, portfolio, profile, report, rules, sicr,
+    stress, transitions, validation,
 )
 from polderbook.plans.tape_view import derive_tape, next_tape_view, tape_view
 from polderbook.session import tune
@@ -202,6 +202,7 @@ _ON_TAPE: dict[str, Callable[[DataFrame], DataFrame]] = {
     "anomaly_rules": lambda t: rounded(
         anomaly.robust_outliers(t, "repayment_type", NUMERIC, threshold=2.0), max_abs_z=6
     ),
+    "anomaly_forest": lambda t: rounded(isolation.score(t, isolation.fit(t, NUMERIC)), score=8),
     "repayment_mix_anomaly": lambda t: rounded(
         anomaly.repayment_mix_anomaly(t), share=8, mean_others=8, sd_others=8, z_score=5
     ),
