@@ -176,6 +176,15 @@ def score(tape: DataFrame, forest: Forest, threshold: float = THRESHOLD, reasons
         "loan_id string, score double, is_anomaly boolean, reasons string, degraded_mode boolean")
 
 
+def score_column(forest: Forest) -> Column:
+    """The score as a column of the tape, for a pass that carries other columns too."""
+    def scores(values: pd.DataFrame) -> pd.Series:
+        return _scored(forest, 2.0, 0, values.assign(loan_id=None))["score"]
+
+    filled = [F.coalesce(_number(m), F.lit(v)).alias(m) for m, v in zip(forest.metrics, forest.fill)]
+    return F.pandas_udf(scores, "double")(F.struct(*filled))
+
+
 def anomalies(tape: DataFrame, group: str, metrics: Sequence[str], threshold: float = THRESHOLD, robust: float = 3.5) -> DataFrame:
     """Odd loans with reasons; from the robust outlier list (``degraded_mode``) where no forest can be grown."""
     forest = fit(tape, metrics)

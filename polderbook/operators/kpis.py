@@ -32,24 +32,10 @@ def quick_scan_kpis(tape: DataFrame) -> DataFrame:
     they would drag every partial sum through a shuffle by borrower. A null
     borrower counts as one.
     """
-    balance = F.col("current_balance")
-    rows = F.count(F.lit(1))
     borrowers = tape.select("borrower_id").distinct()
     return tape.agg(
-        rows.alias("loan_count"),
-        F.coalesce(F.sum(balance), F.lit(0.0)).alias("total_exposure"),
-        weighted_mean(F.col("pd_12m"), balance).alias("weighted_avg_pd_12m"),
-        weighted_mean(F.col("pd_lifetime"), balance).alias("weighted_avg_pd_lifetime"),
-        weighted_mean(scan_ltv(tape.columns), balance).alias("weighted_avg_current_ltv"),
-        weighted_mean(F.col("hra_phase_out_rate"), balance).alias(
-            "weighted_avg_hra_phase_out_rate"
-        ),
-        share(F.count_if("nhg_flag"), rows).alias("nhg_share"),
-        share(F.count_if(F.col("repayment_type") == "AFLOSSINGSVRIJ"), rows).alias(
-            "aflossingsvrij_share"
-        ),
-        # Zero valuations count as 0.0 here instead of blowing up the mean.
-        weighted_mean(_safe_ltv(tape.columns), balance).alias("weighted_avg_current_ltv_safe"),
+        F.count(F.lit(1)).alias("loan_count"),
+        *[value.alias(name) for name, value in scan_indicators(tape.columns).items()],
     ).select(
         "loan_count",
         row_count(borrowers).alias("borrower_count"),
@@ -64,6 +50,23 @@ def quick_scan_kpis(tape: DataFrame) -> DataFrame:
     )
 
 
+def scan_indicators(columns: list[str]) -> dict[str, Column]:
+    """The indicators that are amounts or shares, as plain aggregates over a tape with ``columns``."""
+    balance = F.col("current_balance")
+    rows = F.count(F.lit(1))
+    return {
+        "total_exposure": F.coalesce(F.sum(balance), F.lit(0.0)),
+        "weighted_avg_pd_12m": weighted_mean(F.col("pd_12m"), balance),
+        "weighted_avg_pd_lifetime": weighted_mean(F.col("pd_lifetime"), balance),
+        "weighted_avg_current_ltv": weighted_mean(scan_ltv(columns), balance),
+        "weighted_avg_hra_phase_out_rate": weighted_mean(F.col("hra_phase_out_rate"), balance),
+        "nhg_share": share(F.count_if("nhg_flag"), rows),
+        "aflossingsvrij_share": share(F.count_if(F.col("repayment_type") == "AFLOSSINGSVRIJ"), rows),
+        # Zero valuations count as 0.0 here instead of blowing up the mean.
+        "weighted_avg_current_ltv_safe": weighted_mean(_safe_ltv(columns), balance),
+    }
+
+
 def _safe_ltv(columns: list[str]) -> Column:
     return F.col("current_ltv") if "current_ltv" in columns else current_ltv()
 

@@ -26,8 +26,9 @@ def loss_curve(ltv: Column) -> Column:
     return F.greatest(F.lit(0.0), ltv - LGD_FREE_LTV) * LGD_SLOPE
 
 
-def _clip_unit(value: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))
+def clip_unit(value: Column) -> Column:
+    """Into [0, 1]; null and NaN stay, where ``least`` alone would make them 1."""
+    return F.when(F.isnan(value), value).when(value.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)))
 
 
 def _stressed(tape: DataFrame, pd: Column | None = None, lgd: Column | None = None) -> DataFrame:
@@ -52,7 +53,7 @@ def _revalued(tape: DataFrame, factor: Column) -> DataFrame:
     value, balance = F.col("property_value_current"), F.col("current_balance")
     before = ratio_or_zero(balance, value)
     after = ratio_or_zero(balance, value * factor)
-    shifted = _clip_unit(F.col("lgd") + loss_curve(after) - loss_curve(before))
+    shifted = clip_unit(F.col("lgd") + loss_curve(after) - loss_curve(before))
     return _stressed(tape, lgd=F.when(F.col("nhg_flag"), F.col("lgd")).otherwise(shifted))
 
 
@@ -105,11 +106,11 @@ def stress_summary(stressed: DataFrame, by: str = "ifrs9_stage") -> DataFrame:
         F.sum("base_el").alias("base_el"),
         F.sum("stressed_el").alias("stressed_el"),
         F.sum(F.col("stressed_el") - F.col("base_el")).alias("el_delta"),
-        F.count_if(~_finite(F.col("stressed_el"))).alias("non_finite"),
+        F.count_if(~is_finite(F.col("stressed_el"))).alias("non_finite"),
     )
 
 
-def _finite(value: Column) -> Column:
+def is_finite(value: Column) -> Column:
     limit = F.lit(float("inf"))
     return value.isNotNull() & ~F.isnan(value) & (value != limit) & (value != -limit)
 

@@ -6,7 +6,10 @@ test tables under their plain names.
 
 from __future__ import annotations
 
+import re
+
 from polderbook.model import COLUMNS, FIELDS
+from polderbook.operators.anacredit import REQUIRED_ATTRIBUTES
 from polderbook.plans.tape_view import oracle_prefix
 
 _REF = "DATE '2025-06-01'"
@@ -236,6 +239,41 @@ _RESET_COST = _burdened(
     " THEN current_balance * 2e-2 ELSE 0e0 END", "5e0"
 )
 
+
+
+def _bridge(lgd: str = "lgd") -> str:
+    """Bridge over four shocks; a loan without a loss counts in no amount."""
+    pd = "(CASE WHEN ifrs9_stage = '1' THEN pd_12m ELSE pd_lifetime END)"
+    energy = "(CASE energy_label WHEN 'E' THEN 95e-2 WHEN 'F' THEN 9e-1 WHEN 'G' THEN 85e-2 ELSE 1e0 END)"
+    cost = "CASE WHEN gross_household_income = 0 THEN 0e0 ELSE 5e0 * ({}) / gross_household_income END"
+    hra = cost.format("CASE WHEN tax_deduction_eligible THEN current_balance * interest_rate * greatest(0e0, hra_phase_out_rate - 25e-2)"
+                      " ELSE 0e0 END")
+    reset = cost.format("CASE WHEN rentevast_einddatum BETWEEN DATE '2025-01-01' AND DATE '2028-12-31' THEN current_balance * 2e-2"
+                        " ELSE 0e0 END")
+    both = _revalued("8e-1 * " + energy)
+    names = ("base", "house_price", "energy", "deduction", "rate_reset", "interaction", "stressed")
+    rows = ", ".join(f"({i}, '{n}')" for i, n in enumerate(names))
+    amount = "CASE position " + " ".join(f"WHEN {i} THEN {a}" for i, a in enumerate(
+        ("b", "h - b", "e - b", "d - b", "r - b", "s - h - e - d - r + 3 * b", "s"))) + " END"
+    return f"""{_TAPE}, odd AS (SELECT * REPLACE ({lgd} AS lgd) FROM tape),
+loans AS (SELECT {pd} * lgd * ead AS b, {pd} * ({_revalued("8e-1")}) * ead AS h, {pd} * ({_revalued(energy)}) * ead AS e,
+  least(1e0, {pd} * (1 + {hra})) * lgd * ead AS d, least(1e0, {pd} * (1 + {reset})) * lgd * ead AS r,
+  least(1e0, {pd} * (1 + {hra} + {reset})) * ({both}) * ead AS s, lgd IS NULL AS lost FROM odd),
+sums AS (SELECT coalesce(sum(b) FILTER (WHERE NOT lost), 0) AS b, coalesce(sum(h) FILTER (WHERE NOT lost), 0) AS h,
+  coalesce(sum(e) FILTER (WHERE NOT lost), 0) AS e, coalesce(sum(d) FILTER (WHERE NOT lost), 0) AS d,
+  coalesce(sum(r) FILTER (WHERE NOT lost), 0) AS r, coalesce(sum(s) FILTER (WHERE NOT lost), 0) AS s,
+  CAST(count(*) FILTER (WHERE lost) AS BIGINT) AS non_finite FROM loans),
+steps AS (SELECT position, step, {amount} AS amount, b, s, non_finite FROM sums, (VALUES {rows}) v(position, step))
+SELECT CAST(position AS INT) AS position, step, round(amount, 2) AS amount,
+  round(CASE step WHEN 'stressed' THEN s ELSE sum(amount) OVER (ORDER BY position) END, 2) AS cumulative,
+  round(abs(s - sum(amount) FILTER (WHERE step <> 'stressed') OVER ()), 2) AS gap, non_finite,
+  CASE WHEN non_finite > 0 OR abs(s - b) > 3e9 THEN 'FAILED' ELSE 'OK' END AS status FROM steps"""
+
+
+_INDICATORS = (
+    "total_exposure", "weighted_avg_pd_12m", "weighted_avg_pd_lifetime", "weighted_avg_current_ltv",
+    "weighted_avg_hra_phase_out_rate", "nhg_share", "aflossingsvrij_share", "weighted_avg_current_ltv_safe",
+)
 _METRICS = tuple(f.name for f in FIELDS if f.kind in ("int", "double"))
 _KS_SERIES = " + ".join(
     f"{'2e0' if j % 2 else '-2e0'} * exp(-2e0 * {j} * {j} * lam * lam)" for j in range(1, 101)
@@ -518,6 +556,9 @@ SELECT round(sum(base_el), 2) AS base_el, round(sum(stressed_el), 2) AS stressed
   CASE WHEN abs(sum(stressed_el) - sum(base_el)) > 3 * 1e7 THEN 'FAILED' ELSE 'OK' END AS status
 FROM stressed"""
 
+    q["loss_bridge"] = _bridge()
+    q["loss_bridge_failing"] = _bridge("CASE WHEN CAST(substr(loan_id, 4, 9) AS BIGINT) % 50 <> 0 THEN lgd END")
+
     # drift and anomalies
     q["ks_drift"] = _ks()
     q["anomaly_rules"] = _outliers()
@@ -541,6 +582,26 @@ UNION ALL SELECT 'validation', CASE WHEN hit > n * 1e-2 THEN 'BLOCKED' ELSE 'OK'
 UNION ALL SELECT 'anacredit', 'OK', n, CAST(0 AS BIGINT) FROM c
 UNION ALL SELECT 'quick_scan', 'OK', CAST(8 AS BIGINT), CAST(0 AS BIGINT)"""
     number = "CAST(substr(loan_id, 4, 9) AS BIGINT)"
+    broken = _TAPE.replace("tape AS", "clean AS") + f""", tape AS (SELECT * REPLACE (
+  CASE WHEN {number} % 50 = 0 THEN 15e-1 ELSE lgd END AS lgd,
+  CASE WHEN {number} % 50 = 0 THEN CAST('nan' AS DOUBLE) ELSE pd_12m END AS pd_12m,
+  CASE WHEN {number} % 50 = 0 THEN CAST('nan' AS DOUBLE) ELSE pd_lifetime END AS pd_lifetime,
+  {number} % 20 = 1 OR nhg_flag AS nhg_flag,
+  CASE WHEN {number} % 20 = 1 THEN 1e0 ELSE nhg_cap_at_origination END AS nhg_cap_at_origination,
+  CASE WHEN {number} % 30 = 2 THEN ' ' ELSE borrower_id END AS borrower_id) FROM clean)"""
+    empty = " OR ".join(f"{name} IS NULL OR CAST({name} AS VARCHAR) = ''" for name in REQUIRED_ATTRIBUTES)
+    scan = re.sub(r"^.*?SELECT count\(\*\) AS loan_count,\s*count\(DISTINCT borrower_id\) AS borrower_count,", "SELECT ",
+                  q["quick_scan_kpis"][len(_TAPE):], flags=re.DOTALL)
+    q["gates_failing"] = f"""{broken}{_CHECKED}, a AS ({_ATTRIBUTES}), kpis AS ({scan}),
+g AS (SELECT 'ingest' AS stage, 'FAILED' AS bad, count(*) AS n, count(*) FILTER (WHERE NOT is_valid) AS hit, 0 AS free FROM flagged
+UNION ALL SELECT 'validation', 'BLOCKED', count(*), count(*) FILTER (WHERE {critical}), count(*) * 1e-2 FROM valid
+UNION ALL SELECT 'anacredit', 'WARNING', count(*), count(*) FILTER (WHERE {empty}), 0 FROM a
+UNION ALL SELECT 'quick_scan', 'FAILED', count(*), count(*) FILTER (WHERE v IS NULL OR NOT isfinite(v)), 0
+  FROM (SELECT unnest([{', '.join(_INDICATORS)}]) AS v FROM kpis)
+UNION ALL SELECT 'stress', 'FAILED', count(*), count(*) FILTER (WHERE el IS NULL OR NOT isfinite(el)), 0
+  FROM (SELECT (CASE WHEN ifrs9_stage = '1' THEN pd_12m ELSE pd_lifetime END) * ({_HOUSE}) * ead AS el FROM tape))
+SELECT stage, CASE WHEN hit > free THEN bad ELSE 'OK' END AS status, n AS checked_count, CAST(hit AS BIGINT) AS flagged_count FROM g
+UNION ALL SELECT 'anomaly', 'DEGRADED', count(*), NULL FROM tape"""
     q["income_bands_asof"] = f"""{_TAPE},
 loans AS (SELECT loan_id, CAST(year(origination_date) AS INT) AS year, gross_household_income AS income, {number} AS k FROM tape),
 bands AS (SELECT year AS y, income AS start, max(CAST(CAST(floor(income / 1000) AS BIGINT) % 7 + 3 AS DOUBLE)) AS factor

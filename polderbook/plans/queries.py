@@ -16,7 +16,7 @@ from polderbook.functions import derived
 from polderbook.functions.lookups import hra_rate_for, nhg_cap_for, nibud_columns
 from polderbook.model import FIELDS
 from polderbook.operators import (
-    anacredit, anomaly, asof, difference, drift, gate, history, isolation, kpis, portfolio, profile, report, rules, sicr,
+    anacredit, anomaly, asof, bridge, difference, drift, gate, history, isolation, kpis, portfolio, profile, report, rules, sicr,
     stress, transitions, validation,
 )
 from polderbook.plans.tape_view import derive_tape, next_tape_view, tape_view
@@ -291,6 +291,56 @@ def _changed_tape(tape: DataFrame, later: DataFrame) -> DataFrame:
     return difference.tape_difference(tape, after.unionByName(twice).unionByName(fresh))
 
 
+def _shocks() -> dict[str, bridge.Shock]:
+    """House prices, energy discounts, a lower deduction and the rate reset, in this order."""
+    discount = F
+    for label, size in ENERGY_DISCOUNTS.items():
+        discount = discount.when(F.col("energy_label") == label, F.lit(1.0 - size))
+    lost = F.greatest(F.lit(0.0), F.col("hra_phase_out_rate") - 0.25)
+    balance, resets = F.col("current_balance"), F.col("rentevast_einddatum").between(*map(F.lit, profile.RESET_WINDOW))
+    return {
+        "house_price": bridge.Shock(value_factor=F.lit(1.0 + HOUSE_PRICE_SHOCK)),
+        "energy": bridge.Shock(value_factor=discount.otherwise(F.lit(1.0))),
+        "deduction": bridge.Shock(yearly_cost=F.when(
+            F.col("tax_deduction_eligible"), balance * F.col("interest_rate") * lost).otherwise(F.lit(0.0)), pd_response=5.0),
+        "rate_reset": bridge.Shock(yearly_cost=F.when(resets, balance * 0.02).otherwise(F.lit(0.0)), pd_response=5.0),
+    }
+
+
+def _bridge(tape: DataFrame) -> DataFrame:
+    steps = bridge.loss_bridge(tape, _shocks(), sanity_bound=1e9)
+    return steps.withColumns({c: F.round(F.col(c).cast("double"), 2) for c in ("amount", "cumulative", "gap")})
+
+
+def _broken_bridge(tape: DataFrame) -> DataFrame:
+    """A tape that fails: some loans have no LGD."""
+    return _bridge(tape.withColumn("lgd", F.when(_number() % 50 != 0, F.col("lgd"))))
+
+
+def _shocked(tape: DataFrame) -> DataFrame:
+    return stress.house_price_shock(tape, HOUSE_PRICE_SHOCK)
+
+
+def _observed(tape: DataFrame) -> DataFrame:
+    """Gates counted while the tape is written; the forest is grown on the tape before."""
+    return gate.write_with_gates(
+        tape, working_folder(tape.sparkSession, "gated"), R, _shocked, 1e7, isolation.fit(tape, NUMERIC))
+
+
+def _failing_gates(tape: DataFrame) -> DataFrame:
+    """A tape on which the gates close: impossible risk figures and breached caps on some loans."""
+    broken, capped = _number() % 50 == 0, _number() % 20 == 1
+    odd = F.lit(float("nan"))
+    changed = tape.withColumns({
+        "lgd": F.when(broken, F.lit(1.5)).otherwise(F.col("lgd")),
+        "pd_12m": F.when(broken, odd).otherwise(F.col("pd_12m")), "pd_lifetime": F.when(broken, odd).otherwise(F.col("pd_lifetime")),
+        "nhg_flag": F.when(capped, F.lit(True)).otherwise(F.col("nhg_flag")),
+        "nhg_cap_at_origination": F.when(capped, F.lit(1.0)).otherwise(F.col("nhg_cap_at_origination")),
+        "borrower_id": F.when(_number() % 30 == 2, F.lit(" ")).otherwise(F.col("borrower_id")),
+    })
+    return gate.write_with_gates(changed, working_folder(tape.sparkSession, "gated"), R, _shocked, 1e7)
+
+
 def _recorded(tape: DataFrame) -> DataFrame:
     """A ledger in which one run was recorded twice, as after a retry."""
     path = working_folder(tape.sparkSession, "ledger")
@@ -308,6 +358,10 @@ _ON_TAPE |= {
     "origination_pd": _origination_pd,
     "credit_events": lambda t: history.credit_events(_snapshots(t), F.lit(R)),
     "ledger_after_retry": _recorded,
+    "gates_observed": _observed,
+    "gates_failing": _failing_gates,
+    "loss_bridge": _bridge,
+    "loss_bridge_failing": _broken_bridge,
 }
 _ON_TWO_TAPES["tape_difference"] = _changed_tape
 
