@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from polderbook.functions.bins import order_bin
-
 _SERIES_TERMS = 100
+# Bins per metric: a power of two, so that an edge search is that many halvings.
+_BINS = 1024
+_ACCURACY = 20_000
 
 
 def stack_metrics(tape: DataFrame, metrics: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -38,34 +39,50 @@ def kolmogorov_tail(scaled: Column) -> Column:
     )
 
 
+def bin_among(edges: Column, value: Column, bins: int = _BINS) -> Column:
+    """Number of sorted ``edges`` (``bins - 1`` of them) that are not above ``value``, by halving."""
+    halves = F.array(*[F.lit(2**i) for i in reversed(range((bins - 1).bit_length()))])
+    return F.aggregate(halves, F.lit(0), lambda at, half: at + F.when(edges[at + half - 1] <= value, half).otherwise(0))
+
+
+def with_bins(counts: DataFrame, bins: int = _BINS) -> DataFrame:
+    """Rows ``metric, value, n0, n1`` with an order-preserving ``bin`` of about equally many rows and totals ``t0, t1``.
+
+    Edges are approximate percentiles of the metric's own values, so a column within a hair of
+    one number spreads as well as one over many decades; equal values share a bin. One row of
+    edges and totals per metric is sent to all tasks; it needs every column of ``counts``, so
+    the shuffle that made them serves both sides of the join.
+    """
+    shares = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    edges = counts.groupBy("metric").agg(
+        F.percentile_approx("value", shares, _ACCURACY).alias("edges"), F.sum("n0").alias("t0"), F.sum("n1").alias("t1"))
+    return counts.join(F.broadcast(edges), "metric").withColumn("bin", bin_among(F.col("edges"), F.col("value"), bins)).drop("edges")
+
+
 def ks_drift(before: DataFrame, after: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per metric: exact statistic, asymptotic p-value.
 
     1. Counts per distinct value, combined before the shuffle: a value shared by a
        third of the loans is one row.
-    2. Totals per order-preserving bin; only these few rows are accumulated in
-       global order.
+    2. Totals per bin of about equally many distinct values; only these few rows are
+       accumulated in global order.
     3. Values are accumulated within their bin on top of the bin's offset.
     """
     sides = stack_metrics(before, metrics).withColumn("old", F.lit(1)).unionByName(
         stack_metrics(after, metrics).withColumn("old", F.lit(0))
     )
-    counts = (
-        sides.groupBy("metric", "value")
-        .agg(F.sum("old").alias("n0"), F.sum(1 - F.col("old")).alias("n1"))
-        .withColumn("bin", order_bin(F.col("value")))
+    counts = with_bins(
+        sides.groupBy("metric", "value").agg(F.sum("old").alias("n0"), F.sum(1 - F.col("old")).alias("n1"))
     )
-    bins = counts.groupBy("metric", "bin").agg(F.sum("n0").alias("b0"), F.sum("n1").alias("b1"))
+    bins = counts.groupBy("metric", "bin").agg(
+        F.sum("n0").alias("b0"), F.sum("n1").alias("b1"), F.first("t0").alias("n_before"), F.first("t1").alias("n_after"))
     earlier = Window.partitionBy("metric").orderBy("bin").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    whole = Window.partitionBy("metric")
     offsets = bins.select(
-        "metric", "bin",
+        "metric", "bin", "n_before", "n_after",
         F.coalesce(F.sum("b0").over(earlier), F.lit(0)).alias("o0"),
         F.coalesce(F.sum("b1").over(earlier), F.lit(0)).alias("o1"),
-        F.sum("b0").over(whole).alias("t0"),
-        F.sum("b1").over(whole).alias("t1"),
     )
     inside = Window.partitionBy("metric", "bin").orderBy("value").rowsBetween(
         Window.unboundedPreceding, 0
@@ -76,9 +93,9 @@ def ks_drift(before: DataFrame, after: DataFrame, metrics: Sequence[str]) -> Dat
     )
     distance = (
         counts.join(offsets, ["metric", "bin"])
-        .select("metric", "t0", "t1", gap.alias("gap"))
+        .select("metric", "n_before", "n_after", gap.alias("gap"))
         .groupBy("metric")
-        .agg(F.first("t0").alias("n_before"), F.first("t1").alias("n_after"),
+        .agg(F.first("n_before").alias("n_before"), F.first("n_after").alias("n_after"),
              F.max("gap").alias("ks_statistic"))
     )
     n0, n1 = F.col("n_before").cast("double"), F.col("n_after").cast("double")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---- fixed values: NHG cost limit in EUR per year of origination -------------
@@ -61,10 +62,6 @@ SCHEMAS: dict[str, T.StructType] = {
     ),
 }
 
-# A reference table holds one row per year (and band); anything longer is a
-# mistake and must not be pulled into an expression.
-MAX_REFERENCE_ROWS = 1000
-
 
 def read_reference_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A reference table in its published CSV form."""
@@ -91,9 +88,10 @@ def reference_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame(rows, SCHEMAS[table])
 
 
-def year_values(table: DataFrame, value: str, scale: float = 1.0) -> dict[int, float]:
-    """``{year: value}`` of a reference table; refuses anything but a small table."""
-    rows = table.select("year", value).limit(MAX_REFERENCE_ROWS + 1).collect()
-    if len(rows) > MAX_REFERENCE_ROWS:
-        raise ValueError(f"reference table has more than {MAX_REFERENCE_ROWS} rows")
-    return {row["year"]: row[value] * scale for row in rows}
+def with_year_value(frame: DataFrame, year: Column, table: DataFrame, value: str, name: str, scale: float = 1.0) -> DataFrame:
+    """``frame`` with the ``value`` that ``table`` holds for its ``year``, null where it holds none.
+
+    Of several rows of a year the largest value counts. Spark chooses the join by the table's size.
+    """
+    values = table.where(F.col("year").isNotNull()).groupBy(F.col("year").alias("__year")).agg((F.max(value) * scale).alias(name))
+    return frame.withColumn("__of", year).join(values, F.col("__of") == F.col("__year"), "left").drop("__of", "__year")

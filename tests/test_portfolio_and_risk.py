@@ -251,3 +251,21 @@ def test_repayment_mix_anomaly(spark):
     others = [r["share"] for y, r in out.items() if y != 2017]
     assert out[2017]["z_score"] == pytest.approx(
         (0.625 - np.mean(others)) / np.std(others, ddof=1))
+
+
+def test_drift_bins_follow_the_values(spark):
+    rng = random.Random(3)
+    values = {
+        "close": [1.0 + rng.random() / 1000 for _ in range(20000)],
+        "wide": [10 ** rng.uniform(-300, 300) * rng.choice([-1, 1]) for _ in range(20000)],
+        "few": [float(rng.randrange(3)) for _ in range(20000)] + [float("inf"), float("-inf")],
+    }
+    rows = [(m, v, 1, 0) for m, vs in values.items() for v in dict.fromkeys(vs)]
+    out = drift.with_bins(spark.createDataFrame(rows, "metric string, value double, n0 bigint, n1 bigint"), 64).collect()
+    for metric, vs in values.items():
+        placed = sorted((r["value"], r["bin"]) for r in out if r["metric"] == metric)
+        assert [v for v, _ in placed] == sorted(set(vs))
+        assert all(a[1] <= b[1] for a, b in zip(placed, placed[1:])) and 0 <= placed[0][1] and placed[-1][1] <= 63
+        if metric != "few":
+            sizes = Counter(b for _, b in placed)
+            assert len(sizes) == 64 and max(sizes.values()) < 2 * 20000 / 64

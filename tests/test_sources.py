@@ -239,11 +239,17 @@ def test_reference_csv(spark, tmp_path):
     path = tmp_path / "hra.csv"
     path.write_text("year,max_hra_rate_pct,notes\n2024,36.97,\n2026,37.48,Projected (plan).\n")
     table = reference_tables.read_reference_csv(spark, str(path), "hra_rates")
-    values = reference_tables.year_values(table, "max_hra_rate_pct", scale=0.01)
-    assert values == pytest.approx({2024: 0.3697, 2026: 0.3748})
+    years = spark.createDataFrame([(1, 2024), (2, 2026), (3, 2025), (4, None)], "id int, y int")
+    found = reference_tables.with_year_value(years, F.col("y"), table, "max_hra_rate_pct", "rate", scale=0.01)
+    assert found.columns == ["id", "y", "rate"]
+    assert {r["id"]: r["rate"] for r in found.collect()} == {
+        1: pytest.approx(0.3697), 2: pytest.approx(0.3748), 3: None, 4: None}
     built_in = reference_tables.reference_table(spark, "nhg_caps")
     assert built_in.count() == 16 and reference_tables.reference_table(spark, "hra_rates").count() == 14
     assert reference_tables.reference_table(spark, "nibud_lti").count() == 12
-    assert reference_tables.year_values(built_in, "nhg_cap_eur") == reference_tables.NHG_CAPS
-    with pytest.raises(ValueError):
-        reference_tables.year_values(spark.range(2000).selectExpr("CAST(id AS INT) AS year", "1D AS v"), "v")
+    caps = spark.createDataFrame([(y,) for y in reference_tables.NHG_CAPS], "y int")
+    found = reference_tables.with_year_value(caps, F.col("y"), built_in, "nhg_cap_eur", "cap")
+    assert {r["y"]: r["cap"] for r in found.collect()} == reference_tables.NHG_CAPS
+    # A table of any length: here 2,000 years, each listed twice.
+    long = spark.range(4000).selectExpr("CAST(id % 2000 AS INT) AS year", "CAST(id AS DOUBLE) AS v")
+    assert reference_tables.with_year_value(caps, F.col("y") - 2010, long, "v", "v").where("v = y - 10").count() == 16
