@@ -153,17 +153,83 @@ def test_components_of_a_chain(spark):
     assert {(r["id"], r["component"]) for r in got} == {(i, 0) for i in range(41)} | {(100, 100), (101, 100)}
 
 
-def test_paragraphs(spark, words, odd):
+def _named_words(text):
+    return [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+
+
+def _shared(rows, length):
+    """Row numbers that share a run of ``length`` words with another row."""
+    where = {}
+    for n, (_, text, _) in enumerate(rows):
+        found = _named_words(text)
+        for i in range(len(found) - length + 1):
+            where.setdefault(tuple(found[i:i + length]), set()).add(n)
+    return set().union(*[owners for owners in where.values() if len(owners) > 1])
+
+
+def test_paragraphs_whatever_their_lines(spark, words):
     rng = random.Random(7)
-    passage = [rng.choice(words) for _ in range(60)]
-    changed = list(passage)
-    changed[3] = "other"
-    rows = [(10, f"intro words here\n{' '.join(passage)}\nend", "a"), (11, " ".join(changed), "b"),
-            (12, " ".join(rng.choice(words) for _ in range(60)), "b")]
+    fresh = lambda n: [rng.choice(words) for _ in range(n)]
+    passages = [fresh(51) for _ in range(12)]
+    rows = []
+    for n in range(200):
+        body = fresh(rng.randint(0, 160))
+        if n % 3 == 0:
+            at = rng.randint(0, len(body))
+            body[at:at] = passages[n // 3 % 12]
+        for at in range(7, len(body), rng.randint(9, 60)):
+            body[at] += "\n"
+        rows.append((n, " ".join(body), "a"))
+    got = paragraph_dedup.repeated_paragraphs(frame(spark, rows)).collect()
+    assert _shared(rows, 51) <= {r["doc_id"] for r in got} <= _shared(rows, 18)
+    spelt = {n: _named_words(t) for n, t, _ in rows}
+    for r in got:
+        here = spelt[r["doc_id"]][r["first_word"]:][:r["n_words"]]
+        stays = spelt[r["class_doc_id"]][r["class_first_word"]:][:r["n_words"]]
+        assert len(here) == 20 and len(set(here) & set(stays)) >= 15
+        assert r["kept"] == ((r["doc_id"], r["first_word"]) == (r["class_doc_id"], r["class_first_word"]))
+
+
+def test_paragraph_classes_are_those_of_all_pairs(spark, words):
+    rng = random.Random(17)
+    base = [[rng.choice(words) for _ in range(40)] for _ in range(6)]
+    rows = []
+    for n in range(90):
+        body = list(base[n % 6])
+        for _ in range(rng.randint(0, 2)):
+            body[rng.randrange(40)] = rng.choice(words)
+        rows.append((n, " ".join(body), "a"))
+    members = paragraph_dedup.pieces(frame(spark, rows))
+    marks = {r["id"]: set(r["marks"]) for r in members.collect()}
+    parent = {i: i for i in marks}
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a in marks:
+        for b in marks:
+            if a < b and len(marks[a] & marks[b]) >= 0.8 * len(marks[a] | marks[b]):
+                parent[top(a)] = top(b)
+    scratch = Scratch(spark, "paragraph-test")
+    found = {r["id"]: r["component"] for r in paragraph_dedup.similar_pieces(scratch.write(members, "members"), scratch).collect()}
+    groups = lambda of: {frozenset(i for i in marks if of(i) == of(j)) for j in marks}
+    assert groups(lambda i: found.get(i, i)) == groups(top)
+    assert len(groups(top)) < len(marks)
+
+
+def test_paragraphs_on_odd_rows(spark, words, odd):
+    text = " ".join(words[:60])
+    rows = [(None, text, "a"), (None, text, "a"), (5, text.upper(), None), (6, " ".join(words[:19]), "a"), (7, text + "\n" + text, "a")]
     got = paragraph_dedup.repeated_paragraphs(frame(spark, rows)).collect()
-    assert {(r["doc_id"], r["line_no"], r["class_doc_id"], r["class_line_no"], r["kept"]) for r in got} == {
-        (10, 1, 10, 1, True), (11, 0, 10, 1, False)}
-    assert paragraph_dedup.repeated_paragraphs(frame(spark, odd)).count() >= 3
+    assert {r["doc_id"] for r in got} == {None, 5, 7} and {r["class_doc_id"] for r in got} == {5, 7} - {7}
+    assert all(r["kept"] == (r["doc_id"] == 5) for r in got)
+    twice = [(8, text + " " + text, "a")]
+    assert paragraph_dedup.repeated_paragraphs(frame(spark, twice)).count() == 0
+    shared = _shared(odd, 51)
+    found = paragraph_dedup.repeated_paragraphs(frame(spark, odd)).collect()
+    assert {odd[n][0] for n in shared} <= {r["doc_id"] for r in found}
     assert paragraph_dedup.repeated_paragraphs(empty(spark)).count() == 0
 
 
