@@ -10,6 +10,7 @@ import re
 
 from polderbook.model import COLUMNS, FIELDS
 from polderbook.operators.anacredit import REQUIRED_ATTRIBUTES
+from polderbook.plans import source_oracle
 from polderbook.plans.tape_view import oracle_prefix
 
 _REF = "DATE '2025-06-01'"
@@ -653,4 +654,5 @@ p AS (SELECT CAST(to_json(list({{'loan_id': loan_id, 'field': field, 'code': cod
 SELECT run_id, 'driver' AS tape_id, stage, status, checked_count, flagged_count, {_REF} AS reference_date,
   CASE WHEN stage = 'ingest' AND status <> 'OK' THEN shown END AS error_payload
 FROM g, p, (VALUES ('run-1'), ('run-2')) r(run_id)"""
+    q |= source_oracle.oracles(_TAPE, _CROSS, _CAPS, _HRA, COLUMNS, q["first_issues"])
     return q

@@ -19,6 +19,7 @@ from polderbook.operators import (
     anacredit, anomaly, asof, bridge, difference, drift, gate, history, isolation, kpis, portfolio, profile, report, rules, sicr,
     stress, transitions, validation,
 )
+from polderbook.plans import source_queries
 from polderbook.plans.tape_view import derive_tape, next_tape_view, tape_view
 from polderbook.session import tune
 from polderbook.sources import reader, store
@@ -363,6 +364,7 @@ _ON_TAPE |= {
     "loss_bridge": _bridge,
     "loss_bridge_failing": _broken_bridge,
 }
+_ON_TAPE |= source_queries.QUERIES
 _ON_TWO_TAPES["tape_difference"] = _changed_tape
 
 
