@@ -390,7 +390,7 @@ b AS (SELECT contract_identifier AS loan_id,
   CAST(right(contract_identifier, 9) AS BIGINT) % 7 = 0 AS no_amount FROM a)
 SELECT loan_id, NOT no_amount AS populated, NOT bad_currency AS enumerated,
   CASE WHEN no_amount THEN 'outstanding_nominal_amount' ELSE '' END AS missing_attributes,
-  CASE WHEN bad_currency THEN 'currency value ''XYZ'' not in allowed enumeration [EUR]' ELSE '' END
+  CASE WHEN bad_currency THEN 'currency is ''XYZ'', known are: EUR' ELSE '' END
     AS invalid_values,
   NOT no_amount AND NOT bad_currency AS conforming FROM b"""
     q["anacredit_extra"] = f"""{_TAPE}{_CHECKED} SELECT loan_id AS contract_identifier,

@@ -32,7 +32,11 @@ def plan(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+#: The forest is random and the observed gates depend on it; both have tests of their own.
+WITHOUT_SQL = {"anomaly_forest", "gates_observed"}
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - WITHOUT_SQL))
 def test_query_agrees_with_sql(spark, con, name):
     frame = registry.queries()[name](spark, SF)
     # No Python in the tasks and no pairing of everything with everything.
@@ -42,8 +46,8 @@ def test_query_agrees_with_sql(spark, con, name):
     assert compare(frame, con, name) is None
 
 
-def test_every_query_has_sql():
-    assert set(registry.queries()) == set(oracle.oracles())
+def test_every_other_query_has_sql():
+    assert set(registry.queries()) - WITHOUT_SQL == set(oracle.oracles())
 
 
 def test_entry(spark):
