@@ -12,7 +12,8 @@ partial counts are summed together with the counts so far. Two bit filters of fi
 tell the scan which parts have reached the threshold, and which did so within the last
 cycle. Their false alarms cost time but no count, see ``counted``.
 
-Words are named by 64-bit hashes of language and word. The names are checked against the
+Words are named by 64-bit hashes of language and word; words of ``LONG`` bytes or more by a digest,
+since a polynomial modulo 2^64 gives some long words of regular build one name. The names are checked against the
 spelt words of all phrases returned; should two words share one, all is counted again with
 another seed. Null texts have no words, a null language is ``und``; an empty table gives
 an empty result. Repeated rows count each time. Other columns are not read.
@@ -42,6 +43,8 @@ SHARDS = 3
 #: Bits of a filter, in blocks of 4 KiB.
 FILTER_BITS = 1 << 25
 BLOCK_BITS = 32768
+#: Bytes from which a word is named by a digest.
+LONG = 256
 #: Bytes of text that one numpy step works on, unless a piece is longer.
 STEP_BYTES = 1 << 20
 #: Namings of words that are tried; one in which two words share a name is nearly never met.
@@ -136,6 +139,9 @@ class Words:
         sums = np.zeros(len(text) + 1, np.uint64)
         np.cumsum(self.table[text] * self.powers[:len(text)], out=sums[1:])
         names = (sums[stops] - sums[starts]) * self.inverse[starts] + (stops - starts).astype(np.uint64)
+        for i in np.flatnonzero(stops - starts >= LONG).tolist():
+            digest = hashlib.blake2b(text[starts[i]:stops[i]].tobytes(), digest_size=8, key=b"%d" % self.seed)
+            names[i] = int.from_bytes(digest.digest(), "little")
         document = np.searchsorted(offsets, starts + at, "right") - 1
         names = mixed(names ^ mixed(named[document], 200 + self.seed), 300 + self.seed)
         names[names == 0] = 1
@@ -215,7 +221,9 @@ def _scan(shard: DataFrame, seed: int, with_words: bool, filters) -> DataFrame:
                     pairs = np.flatnonzero(joined & reached[1:] & reached[:-1])
                     double = names[pairs], names[pairs + 1]
                     known, fresh = np.zeros(len(names), bool), np.zeros(len(names), bool)
-                    known[pairs], fresh[pairs] = _hit(ever, *double), _hit(lately, *double)
+                    # a word's late part counts as well: a pair's place may have been taken by a false alarm before
+                    # its words were frequent, and a triple must be counted for a full cycle from its last part on
+                    known[pairs], fresh[pairs] = _hit(ever, *double), _hit(lately, *double) | late[pairs] | late[pairs + 1]
                     pick = np.flatnonzero(known[:-2] & known[1:-1] & (fresh[:-2] | fresh[1:-1]))
                     counts[2].add(names[pick], names[pick + 1], names[pick + 2])
                 for c in counts:
@@ -281,8 +289,8 @@ def counted(shards: DataFrame, scratch: Scratch, seed: int = 0, least: int = LEA
     """(k, w0, w1, w2, n): every phrase of up to three words with ``least`` or more occurrences, and every
     word; for single words ``w2`` names the language.
 
-    A filter's false alarm makes a phrase start earlier or once more. It cannot make a rare phrase
-    frequent, and the first full cycle has the exact count, so of several counts the largest is taken.
+    A phrase is scanned for in the ``SHARDS`` turns after the last of its parts took its place in the
+    filter. A false alarm lets that place be taken earlier, so the cycle starts early, but it is still one full cycle.
     """
     spark = shards.sparkSession
     state, filters, done, ever, recent = None, None, [], 0, []

@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +134,33 @@ def test_phrases_of_nothing(spark, rows):
     assert phrases.collocations(frame(spark, [(1, None, None, None, None), (2, "", "en", None, 1)])).count() == 0
 
 
+def test_phrase_counts_are_whole_when_a_place_is_taken_early(spark, monkeypatch):
+    # the words are frequent after the second shard only; their pair's place in the filter is taken after the first
+    bits = 1 << 15
+
+    def name(word):
+        return int(next(phrases.Words(0).steps(["en"], pa.array([word])))[0][0])
+
+    word = name("again")
+    place = (word ^ int(phrases._rotated(np.uint64(word)))) & (bits - 1)
+    monkeypatch.setattr(phrases, "FILTER_BITS", bits)
+    early = next(w for w in map("early{}".format, range(1_000_000)) if name(w) & (bits - 1) == place)
+    shards = spark.createDataFrame(
+        [("en", ". ".join([early] * 10), 0), ("en", "again again again", 0), ("en", ". ".join(["again again again"] * 5), 1),
+         ("en", ". ".join(["again again again"] * 5), 2)], "lang string, text string, shard int")
+    got = {(r["k"], r["n"]) for r in phrases.counted(shards, Scratch(spark, "early")).collect() if r["k"] > 1}
+    assert got == {(2, 22), (3, 11)}
+
+
+def test_phrases_of_long_words_of_regular_build(spark):
+    one, other = "a", "b"
+    for _ in range(11):
+        one, other = one + other, other + one
+    got = phrases.collocations(frame(spark, [(1, f"{one} {other}. {other} {one}", "en", None, 1)] * 10)).collect()
+    assert sorted((r["phrase"], r["a"], r["l"], r["r"], r["n"]) for r in got) == [
+        (f"{one} {other}", 10, 20, 20, 40), (f"{other} {one}", 10, 20, 20, 40)]
+
+
 def test_phrase_steps_cut_between_pieces(rows, monkeypatch):
     import pyarrow as pa
 
