@@ -99,3 +99,22 @@ def test_valid_row_filter_stays_compilable(view):
     while stages.hasNext():
         sizes.append(stages.next()._3().maxMethodCodeSize())
     assert sizes and max(sizes) < 8000
+
+
+def test_tape_is_written_without_a_shuffle_of_wide_rows(spark, tmp_path):
+    from polderbook.model import LABELLED_SCHEMA
+    from polderbook.plans import tape_view
+
+    spark.range(50).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "id * 1e3 AS o_totalprice", "DATE '2020-02-29' + CAST(id AS INT) AS o_orderdate",
+        "'1-URGENT' AS o_orderpriority", "'x' AS o_comment").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(5).selectExpr("id AS c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spread = tape_view.derive_tape(spark, str(tmp_path), spread=True)
+    dealt = spread._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions [o_orderkey" in dealt
+    below = dealt[dealt.index("RebalancePartitions"):]
+    assert "o_comment" not in below.split("Relation")[0] and "loan_id" not in below and "LN-" not in below
+    whole = tape_view.derive_tape(spark, str(tmp_path)).collect()
+    assert sorted(map(str, spread.collect())) == sorted(map(str, whole)) and len(whole) == 36
+    written = tape_view.tape_view(spark, str(tmp_path))
+    assert written.columns == LABELLED_SCHEMA.names and sorted(map(str, written.collect())) == sorted(map(str, whole))
