@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta, timezone
 
@@ -125,6 +126,38 @@ def test_csv_without_breaks_is_not_shuffled(spark, tmp_path):
     assert lines.count() == 21
 
 
+def test_csv_lines_with_breaks_are_joined_without_a_shuffle_of_the_text(spark, tmp_path):
+    from polderbook.sources import csv_records
+
+    (tmp_path / "tape.csv").write_text('id,remark\n1,"a\nb"\n2,plain\n3,"c\n\nd"\n', newline="")
+    rows = csv_records.records(spark, str(tmp_path / "tape.csv"))
+    assert [r["record"] for r in rows.orderBy("__row").collect()] == ["id,remark", '1,"a\nb"', "2,plain", '3,"c\n\nd"']
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    # only pieces of records that lie in two blocks are dealt, by their file
+    assert not re.search(r"Exchange hashpartitioning\(__file#\d+, __block", text)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_csv_pieces_at_the_ends_of_blocks(size):
+    import pyarrow as pa
+
+    from polderbook.sources import csv_records
+
+    # (block, line, quotes, whether the block begins inside a value)
+    lines = [(0, 'a,"x', 1, 0), (0, 'y"', 1, 0), (0, "b", 0, 0), (0, 'c,"1', 1, 0), (0, "2", 0, 0),
+             (9, "3", 0, 1), (9, "4", 0, 1), (20, '5"', 1, 1), (20, "d", 0, 1), (20, 'e,"6', 1, 1), (20, '7"', 1, 1)]
+    table = [pa.RecordBatch.from_arrays([
+        pa.array(["f"] * len(some)), pa.array([x[0] for x in some], pa.int64()),
+        pa.array(range(at, at + len(some)), pa.int64()), pa.array([x[1] for x in some]),
+        pa.array([x[2] for x in some], pa.int32()), pa.array([x[3] for x in some], pa.int32())],
+        ["__file", "__block", "__row", "value", "quotes", "inside"])
+        for at in range(0, len(lines), size) for some in [lines[at:at + size]]]
+    got = sorted((r["__block"], r["__row"], r["record"], r["opens"])
+                 for b in csv_records._joined(iter(table)) for r in b.to_pylist())
+    assert got == [(0, 0, 'a,"x\ny"', None), (0, 2, "b", None), (0, 3, 'c,"1\n2', True), (9, 5, "3\n4", False),
+                   (20, 7, '5"', False), (20, 8, "d", None), (20, 9, 'e,"6\n7"', None)]
+
+
 def test_unknown_csv_column_is_kept_and_reported(spark, tmp_path):
     write_csv(tmp_path / "tape.csv", [{**loan(1), "remark": "x"}], (*COLUMNS, "remark"))
     result = reader.load_tape(spark, tmp_path / "tape.csv", strict=True)
