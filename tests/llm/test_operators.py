@@ -233,6 +233,28 @@ def test_paragraphs_on_odd_rows(spark, words, odd):
     assert paragraph_dedup.repeated_paragraphs(empty(spark)).count() == 0
 
 
+def test_paragraphs_at_every_position(spark, words):
+    """Passages of 19 to 50 words, of which pieces around anchors alone miss many, are found whole."""
+    rng = random.Random(23)
+    fresh = lambda n: [rng.choice(words) for _ in range(n)]
+    rows = []
+    for n in range(0, 240, 2):
+        passage = fresh(19 + n % 32)
+        for m in (n, n + 1):
+            rows.append((m, " ".join(fresh(rng.randint(1, 90)) + passage + fresh(rng.randint(0, 90))), "a"))
+    got = paragraph_dedup.repeated_paragraphs(frame(spark, rows)).collect()
+    where = {}
+    for n, text, _ in rows:
+        spelt = _named_words(text)
+        for i in range(len(spelt) - 18):
+            where.setdefault(tuple(spelt[i:i + 19]), []).append((n, min(i, len(spelt) - 20)))
+    want = {p: (min(places), len(places)) for places in where.values() if len({n for n, _ in places}) > 1 for p in places}
+    assert {r["doc_id"] for r in got} == _shared(rows, 19) == set(range(240))
+    assert {(r["doc_id"], r["first_word"]) for r in got} == set(want)
+    assert sum(r["kept"] for r in got) == sum(len({n for n, _ in places}) > 1 for places in where.values())
+    assert all(r["class_size"] == 2 and r["class_doc_id"] == r["doc_id"] // 2 * 2 for r in got)
+
+
 def test_decontamination(spark, words, odd):
     rng = random.Random(8)
     item = [rng.choice(words) for _ in range(30)]
