@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from polderbook.functions import text
-from polderbook.functions.opaque import opaque
+from polderbook.functions.opaque import where_computed
 from polderbook.model import (
     BY_NAME, COLUMNS, FIELDS, HRA_REGIME_START, HRA_REPAYMENT_TYPES, LABEL_COLUMN, PC6_PATTERN,
     Field,
@@ -50,12 +50,16 @@ class Check:
 
 @dataclass(frozen=True)
 class ColumnPlan:
-    """How one tape column is read: its typed value, when it is fine, and why it is not."""
+    """How one tape column is read: its typed value, when it is fine, and why it is not.
+
+    ``reading`` is the SQL text of a value that is read into a column of its own first; else empty.
+    """
 
     field: Field
     value: str
     ok: tuple[str, ...]
     checks: tuple[Check, ...]
+    reading: str = ""
 
 
 @dataclass(frozen=True)
@@ -155,7 +159,7 @@ def _bounds(field: Field, value: str) -> tuple[list[str], list[Check]]:
     return ok, checks
 
 
-def _column_plan(field: Field, source: T.DataType | None) -> ColumnPlan:
+def _column_plan(field: Field, source: T.DataType | None, read_first: bool) -> ColumnPlan:
     target = field.spark_type.simpleString()
     if source is None:
         if field.required:
@@ -165,6 +169,9 @@ def _column_plan(field: Field, source: T.DataType | None) -> ColumnPlan:
         return ColumnPlan(field, f"CAST({default} AS {target})", (), ())
     raw = f"`{field.name}`"
     value, type_code = _typed_value(field, source)
+    reading = value if read_first and value != raw else ""
+    if reading:
+        value = f"`{field.name} as read`"
     ok, checks = _bounds(field, value)
     message = f"Input should be a valid {_KIND_WORDS[field.kind]}"
     if type_code:
@@ -176,17 +183,21 @@ def _column_plan(field: Field, source: T.DataType | None) -> ColumnPlan:
         checks.insert(0, Check(f"{raw} IS NULL", _TYPE_CODES[field.kind], message))
         if not ok:  # nothing else makes a null or unreadable value fail
             ok.append(f"({value}) IS NOT NULL")
-    return ColumnPlan(field, value, tuple(ok), tuple(checks))
+    return ColumnPlan(field, value, tuple(ok), tuple(checks), reading)
 
 
 class TapePlan:
-    """Typed values and checks of every column of ``tape``, decided from its schema alone."""
+    """Typed values and checks of every column of ``tape``, decided from its schema alone.
+
+    With ``read_first`` they are those of the rows that ``read`` returns, in which every
+    value that must be parsed is a column, parsed once for all its tests.
+    """
 
-    def __init__(self, tape: DataFrame, ignore: Iterable[str] = ()) -> None:
+    def __init__(self, tape: DataFrame, ignore: Iterable[str] = (), read_first: bool = False) -> None:
         self.ignored = [c for c in ignore if c in tape.columns]
         skip = {*self.ignored, LABEL_COLUMN}
         source = {f.name: f.dataType for f in tape.schema.fields}
-        self.columns = [_column_plan(f, source.get(f.name)) for f in FIELDS]
+        self.columns = [_column_plan(f, source.get(f.name), read_first) for f in FIELDS]
         self.values = {p.field.name: f"({p.value})" for p in self.columns}
         self.unknown = [c for c in tape.columns if c not in BY_NAME and c not in skip]
         self.labelled = LABEL_COLUMN in tape.columns
@@ -195,6 +206,9 @@ class TapePlan:
             self._fields += plan.ok
         self._cross = [i.holds.format(**self.values) for i in INVARIANTS]
 
+    def read(self, tape: DataFrame) -> DataFrame:
+        return tape.select("*", *[F.expr(p.reading).alias(f"{p.field.name} as read") for p in self.columns if p.reading])
+
     def _all(self, conditions: list[str]) -> Column:
         if "false" in conditions:
             return F.lit(False)
@@ -287,8 +301,8 @@ def validity_counts(tape: DataFrame, ignore: Iterable[str] = ()) -> DataFrame:
 
 
 def _failing_rows(tape: DataFrame, ignore: Iterable[str]) -> tuple[TapePlan, DataFrame]:
-    plan = TapePlan(tape, ignore)
-    return plan, tape.where(opaque(~plan.row_ok))
+    plan = TapePlan(tape, ignore, read_first=True)
+    return plan, where_computed(plan.read(tape), ~plan.row_ok)
 
 
 def schema_violations(

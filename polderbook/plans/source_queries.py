@@ -44,7 +44,7 @@ def _too_high(field: Field) -> Column | None:
 
 def spoiled(tape: DataFrame) -> DataFrame:
     """The payload in which every loan has at most one new defect, by its number."""
-    turn, changed = number() % TURNS, []
+    turn, changed = F.col("turn"), []
     for i, field in enumerate(FIELDS):
         odd = F.lit(float("nan")) if field.kind == "double" else None
         value = F.when(turn == i, F.lit(None))
@@ -52,13 +52,13 @@ def spoiled(tape: DataFrame) -> DataFrame:
             if defect is not None:
                 value = value.when(turn == step * len(FIELDS) + i, defect)
         changed.append(value.otherwise(F.col(field.name)).cast(field.spark_type).alias(field.name))
-    return tape.select(*changed)
+    return tape.withColumn("turn", number() % TURNS).select(*changed)
 
 
 def as_text(tape: DataFrame) -> DataFrame:
     """The payload with every column as text; one typed column per loan cannot be read."""
-    turn = number() % len(FIELDS)
-    return tape.select(*[
+    turn = F.col("turn")
+    return tape.withColumn("turn", number() % len(FIELDS)).select(*[
         F.when((turn == i) & F.lit(f.kind not in ("string", "enum")), F.lit("12x")).otherwise(F.col(f.name).cast("string")).alias(f.name)
         for i, f in enumerate(FIELDS)])
 

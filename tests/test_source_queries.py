@@ -43,3 +43,10 @@ def test_strict_load_lists_the_first_loans(tape):
     assert 0 < len(parquet) <= 10
     assert [r["loan_id"] for r in parquet] == sorted(r["loan_id"] for r in parquet)
     assert source_queries.QUERIES["load_csv_strict"](tape).collect() == parquet
+
+
+def test_text_values_are_parsed_once(tape):
+    """Every parsed column has one pattern match in the plan, not one in each of its tests."""
+    found = source_queries.QUERIES["violations_text_tape"](tape)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("RLIKE") <= len(FIELDS)
