@@ -13,11 +13,13 @@ _BINS = 512
 _ACCURACY = 4_096
 
 
-def stack_metrics(tape: DataFrame, metrics: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Long form ``metric, value`` without nulls and NaN."""
+def stack_metrics(
+    tape: DataFrame, metrics: Sequence[str], keep: Sequence[str] = (), numbered: bool = False
+) -> DataFrame:
+    """Long form ``metric, value`` without nulls and NaN; ``numbered``: the place in ``metrics`` instead of the name."""
     pairs = F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
-        for m in metrics
+        F.struct(F.lit(i if numbered else m).alias("metric"), F.col(m).cast("double").alias("value"))
+        for i, m in enumerate(metrics)
     ])
     long = tape.select(*keep, F.inline(pairs))
     return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
@@ -63,40 +65,46 @@ def ks_drift(before: DataFrame, after: DataFrame, metrics: Sequence[str]) -> Dat
 
     1. Counts per distinct value, combined before the shuffle: a value shared by a
        third of the loans is one row.
-    2. Totals per bin of about equally many distinct values; only these few rows are
-       accumulated in global order.
-    3. Values are accumulated within their bin on top of the bin's offset.
+    2. Values are accumulated within their bin of about equally many distinct values.
+       What precedes a bin shifts all its differences alike, so of each bin only the
+       largest and the smallest one, and its totals, are kept.
+    3. Only these few rows are accumulated in global order.
     """
-    sides = stack_metrics(before, metrics).withColumn("old", F.lit(1)).unionByName(
-        stack_metrics(after, metrics).withColumn("old", F.lit(0))
+    sides = stack_metrics(before, metrics, numbered=True).withColumn("old", F.lit(1)).unionByName(
+        stack_metrics(after, metrics, numbered=True).withColumn("old", F.lit(0))
     )
     counts = with_bins(
         sides.groupBy("metric", "value").agg(F.sum("old").alias("n0"), F.sum(1 - F.col("old")).alias("n1"))
     )
-    bins = counts.groupBy("metric", "bin").agg(
-        F.sum("n0").alias("b0"), F.sum("n1").alias("b1"), F.first("t0").alias("n_before"), F.first("t1").alias("n_after"))
+    inside = Window.partitionBy("metric", "bin").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    summed = counts.select(
+        "metric", "bin", "t0", "t1", F.sum("n0").over(inside).alias("s0"), F.sum("n1").over(inside).alias("s1"))
+    # both shares rise with the value, so a bin's totals are its largest sums
+    place = F.struct((F.try_divide(F.col("s0"), F.col("t0")) - F.try_divide(F.col("s1"), F.col("t1"))).alias("ahead"), "s0", "s1")
+    bins = summed.groupBy("metric", "bin").agg(
+        F.max("s0").alias("b0"), F.max("s1").alias("b1"), F.first("t0").alias("n_before"), F.first("t1").alias("n_after"),
+        F.max(place).alias("high"), F.min(place).alias("low"))
     earlier = Window.partitionBy("metric").orderBy("bin").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = bins.select(
-        "metric", "bin", "n_before", "n_after",
+        "metric", "n_before", "n_after", "high", "low",
         F.coalesce(F.sum("b0").over(earlier), F.lit(0)).alias("o0"),
         F.coalesce(F.sum("b1").over(earlier), F.lit(0)).alias("o1"),
     )
-    inside = Window.partitionBy("metric", "bin").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    gap = F.abs(
-        F.try_divide(F.col("o0") + F.sum("n0").over(inside), F.col("t0"))
-        - F.try_divide(F.col("o1") + F.sum("n1").over(inside), F.col("t1"))
-    )
-    distance = (
-        counts.join(offsets, ["metric", "bin"])
-        .select("metric", "n_before", "n_after", gap.alias("gap"))
-        .groupBy("metric")
-        .agg(F.first("n_before").alias("n_before"), F.first("n_after").alias("n_after"),
-             F.max("gap").alias("ks_statistic"))
-    )
+
+    def gap(at: str) -> Column:
+        return F.abs(
+            F.try_divide(F.col("o0") + F.col(f"{at}.s0"), F.col("n_before"))
+            - F.try_divide(F.col("o1") + F.col(f"{at}.s1"), F.col("n_after"))
+        )
+
+    named = F.element_at(F.array(*[F.lit(m) for m in metrics]), F.col("metric") + 1).alias("metric")
+    distance = offsets.groupBy(named).agg(
+        F.first("n_before").alias("n_before"), F.first("n_after").alias("n_after"),
+        F.max(F.greatest(gap("high"), gap("low"))).alias("ks_statistic"))
     n0, n1 = F.col("n_before").cast("double"), F.col("n_after").cast("double")
     scaled = F.sqrt(F.try_divide(n0 * n1, n0 + n1)) * F.col("ks_statistic")
     return distance.withColumn("p_value", kolmogorov_tail(scaled))

@@ -92,6 +92,12 @@ def test_drift_reads_each_snapshot_once(spark):
     assert text.count("FileScan") == 2 and "ReusedExchange" in text
 
 
+def test_drift_places_values_once(spark):
+    """Values meet their bin edges in one join; bins are accumulated without going back to the values."""
+    text = driver.queries()["ks_drift"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join ") == 1
+
+
 def test_valid_row_filter_stays_compilable(view):
     """The fused row test must stay below the size that the JVM compiles."""
     stages = validation.valid_loans(view)._jdf.queryExecution().debug().codegenToSeq().iterator()
