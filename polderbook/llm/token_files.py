@@ -58,10 +58,13 @@ TWO_SPACES = re.compile(r" (?:\s|(?<=\s ))")
 FIRST = " "
 #: Characters of texts that are encoded together.
 TOGETHER = 2_000_000
-#: Marks that are always a piece of their own behind a letter and in front of a space.
-MARKS = (".", ",", ";", ":", "!", "?")
+#: Latin letters, which are one piece, and ASCII marks behind them, which are another.
+WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++)([!-&(-/:-@\[-`{-~]*+)")
 #: How the byte-level pre-tokenizer spells a space.
 SPACE = "\u0120"
+_PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+#: How it spells the bytes that it does not leave as they are.
+SPELT = {byte: 0x100 + i for i, byte in enumerate(b for b in range(256) if b not in _PLAIN)}
 
 
 # ---- patched frame of reference -------------------------------------------------------
@@ -196,7 +199,7 @@ class Encoder:
         before = parts["pre_tokenizer"] or {}
         self.byte_level = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not (
             before["add_prefix_space"] or parts["normalizer"])
-        self.marks = {m: self._ids(m) for m in MARKS}
+        self.marks: dict[str, bytes] = {"": b"", "\n": self._ids("\n")}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.remember = remember
@@ -206,9 +209,11 @@ class Encoder:
         cut = [self._chunks(t) for t in texts]
         if len(self.known) > self.remember:
             self.known, self.older = {}, self.known
+        if len(self.marks) > self.remember:
+            self.marks = {m: self.marks[m] for m in ("", "\n")}
         known, older, others = self.known, self.older, []
         for chunk in set(chain.from_iterable(cut)).difference(known):
-            ids = older.get(chunk) or self._word(chunk)
+            ids = older.get(chunk) or self._plain(chunk)
             if ids is None:
                 others.append(chunk)
             else:
@@ -224,17 +229,34 @@ class Encoder:
     def _ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _word(self, chunk: str) -> bytes | None:
-        """Ids of a chunk of ASCII letters, perhaps with a mark behind: one piece for the model, or two; else None."""
-        if not self.byte_level:
+    def _plain(self, chunk: str) -> bytes | None:
+        """Ids of a chunk of Latin words, each perhaps with marks behind, a line feed between; else None.
+
+        A line feed between other characters than white space is a piece, and what follows has no space in front.
+        """
+        if not self.byte_level or chunk[:1] == FIRST:
+            return None
+        if "\n" not in chunk:
+            return self._word(chunk, SPACE)
+        lines = chunk.split("\n")
+        if len(chunk.split()) != len(lines):  # an empty line or other white space
             return None
-        word, mark = (chunk[:-1], chunk[-1]) if chunk[-1:] in self.marks else (chunk, "")
-        if not (word.isascii() and word.isalpha()):
+        found = [self._word(line, "" if i else SPACE) for i, line in enumerate(lines)]
+        return None if None in found else self.marks["\n"].join(found)
+
+    def _word(self, word: str, space: str) -> bytes | None:
+        """Ids of Latin letters, perhaps with marks behind: one piece for the model, or two; else None."""
+        whole = WORD.fullmatch(word)
+        if not whole:
             return None
-        ids = self.known.get(word) if mark else None
+        letters, marks = whole.groups()
+        ids = self.known.get(letters) if marks and space else None
         if ids is None:
-            ids = array("I", [t.id for t in self.model.tokenize(SPACE + word)]).tobytes()
-        return ids + self.marks[mark] if mark else ids
+            spelt = letters if letters.isascii() else letters.encode().decode("latin-1").translate(SPELT)
+            ids = array("I", [t.id for t in self.model.tokenize(space + spelt)]).tobytes()
+        if marks not in self.marks:
+            self.marks[marks] = self._ids(marks)
+        return ids + self.marks[marks]
 
     @staticmethod
     def _chunks(text: str) -> list[str]:

@@ -252,3 +252,30 @@ def test_stages_on_clashing_names(spark, rows):
     near = order_minhash.near_dedup(docs)
     ids = [r[0] for r in near.select("doc_id").collect()]
     assert near.columns == docs.columns and 2000 in ids and 2001 not in ids
+
+
+def test_accented_words_and_broken_lines_go_to_the_model():
+    """Ids are those of the whole text; only chunks that are no plain words take the way through the whole tokenizer."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        encoder = token_files.Encoder(file.read())
+    whole = encoder.tokenizer
+    plain = "so École élève, naïf.\nßtraße!!! über&&&\nÿ (öl) Łódź.\nŒuvre... ñ%%% æsir\nþing\nZ x"
+    odd = ("a aª b² cⅧ été ×ö ö×ö don't l'école, d'or's x's\ny \nlead trail\n two\n\nlines tab\tbed\n \r\nc a_b é_è "
+           "n b é1 1é é.é 中文 é中 x y q\n's w\n.\nv e\x1cf ǆǅ ɐz")
+    texts = [plain, odd, f"{odd} {plain}", "", "é", "é\n", "\né", "é\né"]
+    want = [np.array(whole.encode(t, add_special_tokens=False).ids, np.uint32).tobytes() for t in texts]
+
+    class Counting:
+        chunks = 0
+
+        def encode_batch_fast(self, some, **kwargs):
+            self.chunks += len(some)
+            return whole.encode_batch_fast(some, **kwargs)
+
+        def encode(self, text, **kwargs):
+            return whole.encode(text, **kwargs)
+
+    encoder.tokenizer = counting = Counting()
+    assert encoder.ids([plain]) == want[:1]
+    assert counting.chunks == 2  # the first chunk, and the one in brackets
+    assert encoder.ids(texts) == want
