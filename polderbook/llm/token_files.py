@@ -16,9 +16,10 @@ Every text, null read as empty, is followed by the id ``END``. Rows with a null
 come last. Rows that repeat a ``doc_id`` are ordered by the hash of their text; rows alike in both are interchangeable.
 An empty table writes no shard and reads back as no row.
 
-The tokenizer is a parameter. Texts are cut only between a non-space and a single space in
-front of a non-space, where the byte-level pre-tokenizer always ends a piece, so ids are
-those of the whole text while repeated chunks are encoded once per Python worker.
+The tokenizer is a parameter. Texts are cut only between a non-space and a single space or line
+feed in front of a non-space, where the byte-level pre-tokenizer always ends a piece, so ids are
+those of the whole text. Arrow cuts the texts of a batch and codes equal chunks, so that each
+different chunk is looked up once; new words of Latin letters go to the tokenizer's model many to a call.
 """
 
 from __future__ import annotations
@@ -30,10 +31,10 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,25 +47,32 @@ END_BYTES = struct.pack("<I", END)
 SHARD_IDS = 1 << 20
 BLOCK = 512
 PERCENTILE = 90
-#: Chunks that a Python worker remembers.
+#: Chunks that a Python worker remembers in one generation.
 REMEMBER = 250_000
+#: Bytes up to which a chunk is remembered.
+LONGEST = 64
 HEADER = struct.Struct("<4sIIIQIH")
 MAGIC = b"PFR1"
-#: A text may be cut here: what follows is a piece of its own.
-CUT = re.compile(r"(?<=\S)(?= \S)")
-#: A space next to other white space; without one, a text may be cut at every space.
-TWO_SPACES = re.compile(r" (?:\s|(?<=\s ))")
-#: Stands in front of a text's first chunk; no chunk begins with a space.
-FIRST = " "
-#: Characters of texts that are encoded together.
-TOGETHER = 2_000_000
+#: A text may be cut in front of this: a piece begins with the space, or the line feed is one.
+CUT = re.compile(r"[ \n](?<=\S[ \n])(?=\S)")
+#: A space or line feed next to other white space; without one, a text may be cut at every one of them.
+_WHITE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+CROWDED = f"[ \\n][{_WHITE}]|[{_WHITE}][ \\n]"
+#: Stands at the cuts of a text; texts that hold it are encoded whole.
+SEP = "\0"
+#: Bytes of texts that are encoded together.
+TOGETHER = 1 << 24
+#: Words that one call to the library encodes.
+WORDS = 20_000
 #: Latin letters, which are one piece, and ASCII marks behind them, which are another.
-WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++)([!-&(-/:-@\[-`{-~]*+)")
-#: How the byte-level pre-tokenizer spells a space.
-SPACE = "\u0120"
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+PLAIN = f"^[ \\n][{LETTERS}]+$"
+MARKS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
+NOT_MARKS = " \n" + "".join(c for c in map(chr, range(0x250)) if re.match(f"[{LETTERS}]", c))
 _PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-#: How it spells the bytes that it does not leave as they are.
-SPELT = {byte: 0x100 + i for i, byte in enumerate(b for b in range(256) if b not in _PLAIN)}
+#: How the byte-level pre-tokenizer spells each byte.
+SPELT = np.arange(256, dtype="<u2")
+SPELT[[byte for byte in range(256) if byte not in _PLAIN]] = 0x100 + np.arange(256 - len(_PLAIN))
 
 
 # ---- patched frame of reference -------------------------------------------------------
@@ -186,86 +194,133 @@ class Encoder:
     """Ids of texts, as little-endian uint32, by a tokenizer of the tokenizers library.
 
     Chunks are remembered in two generations: when the younger is full it replaces the
-    older, and what is met again moves up, so frequent chunks stay.
+    older, and what is met again moves up, so frequent chunks stay. Texts are encoded whole
+    unless the tokenizer is byte-level and has no added token that a cut or a plain word could touch.
     """
 
     def __init__(self, description: str, remember: int = REMEMBER):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import Split
 
         self.tokenizer = Tokenizer.from_str(description)
-        self.model = self.tokenizer.model
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         parts = json.loads(description)
         before = parts["pre_tokenizer"] or {}
+        touched = re.compile(rf"(?s).*\s.*|[{LETTERS}]+[{re.escape(MARKS)}]*")
         self.byte_level = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not (
-            before["add_prefix_space"] or parts["normalizer"])
-        self.marks: dict[str, bytes] = {"": b"", "\n": self._ids("\n")}
+            before["add_prefix_space"] or parts["normalizer"]) and not any(
+            t["lstrip"] or t["rstrip"] or t["single_word"] or touched.fullmatch(t["content"]) for t in parts["added_tokens"])
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        #: For what stands in front of a word: the model behind a cut there, and the ids that begin with it.
+        self.models = {}
+        for front, behaviour in ((" ", "merged_with_next"), ("\n", "isolated")):
+            spelt = chr(SPELT[ord(front)])
+            model = Tokenizer(self.tokenizer.model)
+            model.pre_tokenizer = Split(spelt, behaviour)
+            opening = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+            opening[[i for token, i in vocabulary.items() if token.startswith(spelt)]] = True
+            self.models[front] = model, opening
+        self.marks: dict[str, bytes] = {"": b""}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.remember = remember
 
-    def ids(self, texts: list[str]) -> list[bytes]:
+    def ids(self, texts: list[str] | pa.Array) -> list[bytes]:
         """The ids of each text."""
-        cut = [self._chunks(t) for t in texts]
+        if not len(texts):
+            return []
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        whole = pc.match_substring(texts, SEP).to_numpy(zero_copy_only=False) if self.byte_level else np.ones(len(texts), bool)
+        cut = pc.split_pattern(self._marked(pc.if_else(pa.array(whole), "", texts)), SEP)
+        coded = cut.values.dictionary_encode()
+        laid = self._of_chunks(coded.dictionary).take(coded.indices)
+        ends = np.frombuffer(laid.buffers()[1], np.int64)[cut.offsets.to_numpy()].tolist()
+        data = memoryview(laid.buffers()[2] or b"")
+        found = [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]
+        for i in np.flatnonzero(whole).tolist():
+            found[i] = self._encoded([texts[i].as_py()])[0]
+        return found
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts by the whole tokenizer."""
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", x.ids).tobytes() for x in found]
+
+    @staticmethod
+    def _marked(texts: pa.Array) -> pa.Array:
+        """The texts with ``SEP`` where they may be cut."""
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", f"{SEP} "), "\n", f"{SEP}\n")
+        crowded = pc.match_substring_regex(texts, CROWDED)
+        if not pc.any(crowded).as_py():
+            return marked
+        some = [CUT.sub(rf"{SEP}\g<0>", t) for t in texts.filter(crowded).to_pylist()]
+        return pc.replace_with_mask(marked, crowded, pa.array(some, pa.large_string()))
+
+    def _of_chunks(self, chunks: pa.Array) -> pa.Array:
+        """Ids of different chunks; those of Latin letters, perhaps with marks behind, are put together from both."""
+        bare = pc.utf8_rtrim(chunks, characters=MARKS)
+        plain = pc.match_substring_regex(bare, PLAIN)
+        words = pc.if_else(plain, bare, chunks).dictionary_encode()
+        tails = pc.if_else(plain, pc.utf8_ltrim(chunks, characters=NOT_MARKS), "").dictionary_encode()
+        if len(self.marks) > self.remember:
+            self.marks = {"": b""}
+        for marks in _listed(tails.dictionary):
+            if marks not in self.marks:
+                self.marks[marks] = array("I", self.tokenizer.encode(marks, add_special_tokens=False).ids).tobytes()
+        ends = [self.marks[marks] for marks in _listed(tails.dictionary)]
+        return pc.binary_join_element_wise(
+            pa.array(self._remembered(words.dictionary), pa.large_binary()).take(words.indices),
+            pa.array(ends, pa.large_binary()).take(tails.indices), pa.scalar(b"", pa.large_binary()))
+
+    def _remembered(self, words: pa.Array) -> list[bytes]:
+        """Ids of different words and other chunks, remembered or new."""
         if len(self.known) > self.remember:
             self.known, self.older = {}, self.known
-        if len(self.marks) > self.remember:
-            self.marks = {m: self.marks[m] for m in ("", "\n")}
-        known, older, others = self.known, self.older, []
-        for chunk in set(chain.from_iterable(cut)).difference(known):
-            ids = older.get(chunk) or self._plain(chunk)
-            if ids is None:
-                others.append(chunk)
-            else:
-                known[chunk] = ids
+        known, older = self.known, self.older
+        spelt = _listed(words)
+        found = list(map(known.get, spelt))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            found[i] = older.get(spelt[i])
+        new = np.array([i for i, ids in enumerate(found) if ids is None], np.int64)
+        plain = pc.match_substring_regex(words.take(pa.array(new)), PLAIN).to_numpy(zero_copy_only=False)
+        at = new[plain]
+        for i, ids in zip(at.tolist(), self._words(words.take(pa.array(at))), strict=True):
+            found[i] = ids
+        others = new[~plain].tolist()
         for start in range(0, len(others), 1000):
             some = others[start:start + 1000]
-            whole = [c[1:] if c[:1] == FIRST else f" {c}" for c in some]
-            encoded = self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)
-            for chunk, found in zip(some, encoded, strict=True):
-                known[chunk] = array("I", found.ids).tobytes()
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
-
-    def _ids(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _plain(self, chunk: str) -> bytes | None:
-        """Ids of a chunk of Latin words, each perhaps with marks behind, a line feed between; else None.
-
-        A line feed between other characters than white space is a piece, and what follows has no space in front.
-        """
-        if not self.byte_level or chunk[:1] == FIRST:
-            return None
-        if "\n" not in chunk:
-            return self._word(chunk, SPACE)
-        lines = chunk.split("\n")
-        if len(chunk.split()) != len(lines):  # an empty line or other white space
-            return None
-        found = [self._word(line, "" if i else SPACE) for i, line in enumerate(lines)]
-        return None if None in found else self.marks["\n"].join(found)
-
-    def _word(self, word: str, space: str) -> bytes | None:
-        """Ids of Latin letters, perhaps with marks behind: one piece for the model, or two; else None."""
-        whole = WORD.fullmatch(word)
-        if not whole:
-            return None
-        letters, marks = whole.groups()
-        ids = self.known.get(letters) if marks and space else None
-        if ids is None:
-            spelt = letters if letters.isascii() else letters.encode().decode("latin-1").translate(SPELT)
-            ids = array("I", [t.id for t in self.model.tokenize(space + spelt)]).tobytes()
-        if marks not in self.marks:
-            self.marks[marks] = self._ids(marks)
-        return ids + self.marks[marks]
-
-    @staticmethod
-    def _chunks(text: str) -> list[str]:
-        """Chunks without the space in front of them; ``FIRST`` marks one that has none."""
-        if TWO_SPACES.search(text):
-            return [c[1:] if i else FIRST + c for i, c in enumerate(CUT.split(text))]
-        chunks = text.split(" ")
-        chunks[0] = FIRST + chunks[0]
-        return chunks
+            for i, ids in zip(some, self._encoded([spelt[i] for i in some]), strict=True):
+                found[i] = ids
+        known.update(zip(spelt, found, strict=True))
+        for i in np.flatnonzero(pc.binary_length(words).to_numpy() > LONGEST).tolist():
+            del known[spelt[i]]
+        return found
+
+    def _words(self, words: pa.Array) -> list[bytes]:
+        """Ids of Latin words with a space or line feed in front, many to a call; the ids that open a word tell them apart."""
+        found: list[bytes | None] = [None] * len(words)
+        for front, (model, opening) in self.models.items():
+            places = np.flatnonzero(pc.starts_with(words, front).to_numpy(zero_copy_only=False))
+            for start in range(0, len(places), WORDS):
+                at = places[start:start + WORDS]
+                some = words.take(pa.array(at))
+                spelt = SPELT[np.frombuffer("".join(_listed(some)).encode(), np.uint8)].tobytes().decode("utf-16-le")
+                ids = np.array(model.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, "<u4")
+                begins = np.flatnonzero(opening[ids])
+                if len(begins) == len(at):
+                    data, ends = ids.tobytes(), [*(4 * begins).tolist(), 4 * len(ids)]
+                    each = [data[a:b] for a, b in zip(ends, ends[1:])]
+                else:
+                    each = self._encoded(_listed(some))
+                for i, word in zip(at.tolist(), each, strict=True):
+                    found[i] = word
+        return found
+
+
+def _listed(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
 
 
 _encoders: dict[int, Encoder] = {}
@@ -280,19 +335,16 @@ def encoder(description: str) -> Encoder:
     return _encoders[key]
 
 
-def together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str]]]:
-    """(doc_ids, texts) of about ``TOGETHER`` characters at a time."""
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], pa.Array]]:
+    """(doc_ids, texts) of about ``TOGETHER`` bytes at a time."""
     for batch in batches:
-        doc_ids, texts, size = [], [], 0
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            doc_ids.append(doc_id)
-            texts.append(text.as_py())
-            size += len(texts[-1])
-            if size >= TOGETHER:
-                yield doc_ids, texts
-                doc_ids, texts, size = [], [], 0
-        if texts:
-            yield doc_ids, texts
+        doc_ids, texts = batch.column(0), batch.column(1).cast(pa.large_string())
+        ends = np.cumsum(pc.binary_length(texts).to_numpy())
+        at = 0
+        while at < len(texts):
+            stop = 1 + int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TOGETHER))
+            yield doc_ids[at:stop].to_pylist(), texts[at:stop]
+            at = stop
 
 
 # ---- Spark ------------------------------------------------------------------------------

@@ -279,3 +279,48 @@ def test_accented_words_and_broken_lines_go_to_the_model():
     assert encoder.ids([plain]) == want[:1]
     assert counting.chunks == 2  # the first chunk, and the one in brackets
     assert encoder.ids(texts) == want
+
+
+def test_words_met_for_the_first_time_share_calls():
+    """Each word goes to the library once, many words to a call, whatever marks, line feeds and texts it stands with."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        encoder = token_files.Encoder(file.read())
+    calls = []
+
+    class Counting:
+        def __init__(self, model):
+            self.model = model
+
+        def encode_batch_fast(self, some, **kwargs):
+            calls.append(len(some))
+            return self.model.encode_batch_fast(some, **kwargs)
+
+    encoder.models = {front: (Counting(model), opening) for front, (model, opening) in encoder.models.items()}
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghiéœ") for _ in range(rng.randint(2, 9))) for _ in range(500)]
+    texts = ["".join(w + rng.choice([" ", ", ", ".\n", "\n", "!\n\n", " \n", "; "]) for w in rng.choices(words, k=200)) for _ in range(40)]
+    texts += ["\0 a b\n\0c", "a\n", "\n", "\na", " \n a", "a\x85 b  c 　d", "x <|endoftext|> y<|endoftext|>\nz", ""]
+    want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.ids(pa.array(texts)) == want and calls == [1, 1]
+    assert encoder.ids(pa.array(["-", *texts])[1:]) == want and calls == [1, 1]
+    assert encoder.ids(["x " + "y" * 1000]) and max(map(len, encoder.known)) <= token_files.LONGEST
+
+
+@pytest.mark.parametrize("change", [
+    lambda parts: parts["pre_tokenizer"].update(add_prefix_space=True),
+    lambda parts: parts["added_tokens"].append({**parts["added_tokens"][0], "id": 50257, "content": "row"}),
+    lambda parts: parts["added_tokens"].append({**parts["added_tokens"][0], "id": 50257, "content": "two words"}),
+    lambda parts: parts["added_tokens"][0].update(lstrip=True),
+])
+def test_tokenizers_that_no_cut_is_safe_for_encode_whole_texts(change):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        parts = json.load(file)
+    change(parts)
+    description = json.dumps(parts)
+    texts = ["brown rows, two words <|endoftext|> a\nrow two words", "two\nwords", "a row", ""]
+    got = [np.frombuffer(x, "<u4").tolist() for x in token_files.Encoder(description).ids(texts)]
+    assert got == [Tokenizer.from_str(description).encode(t, add_special_tokens=False).ids for t in texts]
