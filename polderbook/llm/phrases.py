@@ -8,7 +8,7 @@ exact; no phrase that reaches the threshold can be missed, since its parts occur
 as often. Scanning ends when nothing is active.
 
 One scan is one shuffle: numpy counts the shard's active phrases per batch, and these
-partial counts are summed together with the counts so far. Two bit filters of fixed size
+partial counts are summed, after the shuffle, together with the counts so far. Two bit filters of fixed size
 tell the scan which parts have reached the threshold, and which did so within the last
 cycle. Their false alarms cost time but no count, see ``counted``.
 
@@ -98,7 +98,7 @@ class Words:
         if not len(texts) or offsets[-1] == offsets[0]:
             return
         raw = np.frombuffer(texts.buffers()[2], np.uint8)
-        named = np.array([self.lang(x) for x in langs], np.uint64)
+        named = mixed(np.array([self.lang(x) for x in langs], np.uint64), 200 + self.seed)
         at, end = int(offsets[0]), int(offsets[-1])
         while at < end:
             stop = min(end, at + STEP_BYTES)
@@ -142,8 +142,9 @@ class Words:
         for i in np.flatnonzero(stops - starts >= LONG).tolist():
             digest = hashlib.blake2b(text[starts[i]:stops[i]].tobytes(), digest_size=8, key=b"%d" % self.seed)
             names[i] = int.from_bytes(digest.digest(), "little")
-        document = np.searchsorted(offsets, starts + at, "right") - 1
-        names = mixed(names ^ mixed(named[document], 200 + self.seed), 300 + self.seed)
+        before = np.searchsorted(starts, offsets[first + 1:last] - at)
+        document = np.repeat(np.arange(first, last), np.diff(before, prepend=0, append=len(starts)))
+        names = mixed(names ^ named[document], 300 + self.seed)
         names[names == 0] = 1
         pieces = np.cumsum(BREAKS[text])[starts] + document
         return names, pieces, text, starts, stops, document
@@ -186,7 +187,9 @@ class Counts:
         key = words[0].copy()
         for w in words[1:]:
             key = _rotated(key) ^ w
-        order = np.argsort(key, kind="stable")
+        # values sort faster than places: the key's high bits, then the place; keys alike in those bits may split a count
+        low = np.uint64((1 << len(key).bit_length()) - 1)
+        order = (np.sort((key & ~low) | np.arange(len(key), dtype=np.uint64)) & low).astype(np.int64)
         words = [w[order] for w in words]
         fresh = np.ones(len(order), bool)
         fresh[1:] = np.logical_or.reduce([w[1:] != w[:-1] for w in words])
@@ -300,9 +303,11 @@ def counted(shards: DataFrame, scratch: Scratch, seed: int = 0, least: int = LEA
             "since", F.lit(turn))
         if state is not None:
             found = found.unionByName(state.where(F.col("since") > turn - SHARDS))
+        # a task's rows hardly share a key, since its counts are summed before and the state's keys differ: summed after the shuffle alone
         now = scratch.write(
-            found.groupBy(*KEY).agg(F.sum("n").alias("n"), F.min("since").alias("since")), f"state-{turn}")
-        parts = now.where((F.col("n") >= least) & ((F.col("w1") == 0) | (F.col("w2") == 0)))
+            found.repartition(*KEY).groupBy(*KEY).agg(F.sum("n").alias("n"), F.min("since").alias("since")), f"state-{turn}")
+        kept = scratch.write(now.where((F.col("n") >= least) | (F.col("w1") == 0)), f"kept-{turn}")
+        parts = kept.where((F.col("n") >= least) & ((F.col("w1") == 0) | (F.col("w2") == 0)))
         bits = _bitmap(parts, _slot(F.col("w0"), F.col("w1")))
         recent = [*recent, bits & ~ever][-SHARDS:]
         ever |= bits
@@ -312,7 +317,8 @@ def counted(shards: DataFrame, scratch: Scratch, seed: int = 0, least: int = LEA
         kind = F.when(F.col("w1") == 0, 1).when(F.col("w2") == 0, 2).otherwise(3)
         ended = F.col("since") > turn - SHARDS if last else F.col("since") == turn - SHARDS + 1
         done.append(scratch.write(
-            now.where(ended & ((F.col("n") >= least) | (F.col("w1") == 0))).select(kind.alias("k"), *KEY, "n"), f"done-{turn}"))
+            kept.where(ended).select(kind.alias("k"), *KEY, "n"), f"done-{turn}"))
+        scratch.drop(f"kept-{turn}")
         if state is not None:
             scratch.drop(f"state-{turn - 1}")
         state = now

@@ -171,6 +171,33 @@ def test_phrase_steps_cut_between_pieces(rows, monkeypatch):
     assert [x for step in phrases.Words(0).steps(langs, texts) for x in step[0].tolist()] == whole
 
 
+def test_partial_counts_of_phrases_hold_every_phrase_once():
+    rng = np.random.default_rng(4)
+    names = rng.integers(1, 2**63, 50).astype(np.uint64)
+    counts, want = phrases.Counts(3), collections.Counter()
+    for _ in range(5):
+        columns = [names[rng.integers(0, 50, 4000) ** 2 // 50] for _ in range(3)]
+        counts.add(*columns)
+        want.update(zip(*[c.tolist() for c in columns]))
+    got = counts.take().to_pylist()
+    assert {(r["w0"], r["w1"], r["w2"]): r["n"] for r in got} == want and len(got) == len(want) and counts.held == 0
+
+
+def test_phrase_counts_are_summed_after_the_shuffle_alone(spark, rows, monkeypatch):
+    # counts leave a task already summed, so another sum before the shuffle finds next to nothing to join
+    plans, write = {}, Scratch.write
+
+    def noted(self, frame, name):
+        plans[name] = frame._jdf.queryExecution().sparkPlan().toString() + frame._jdf.queryExecution().executedPlan().toString()
+        return write(self, frame, name)
+
+    monkeypatch.setattr(Scratch, "write", noted)
+    shards = spark.createDataFrame([(r[2] or "und", r[1] or "", i % 3) for i, r in enumerate(rows)], "lang string, text string, shard int")
+    assert phrases.counted(shards, Scratch(spark, "plans"), least=4).count()
+    states = [plan for name, plan in plans.items() if name.startswith("state-")]
+    assert len(states) > 3 and all("HashAggregate" in p and "HashAggregate" not in p.rpartition("Exchange")[2] for p in states)
+
+
 # ---- manifest -------------------------------------------------------------------------
 
 def h(text):
